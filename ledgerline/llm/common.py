@@ -13,16 +13,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that are turned into numpy arrays at once.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+#: White space and ASCII punctuation, for words without either.
+BREAKS = WHITE.copy()
+BREAKS[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
+
 #: Lower-cases the bytes A-Z and leaves the others.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -67,10 +72,15 @@ def first_by_hash(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.lit(17), key), key).limit(most)
 
 
-def text_chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def with_text(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns and the text, which a struct named ``row`` among them has inside."""
+    return docs.select(*keep) if {"row", "text"} & {*keep} else docs.select(*keep, "text")
+
+
+def text_chunks(batch: pa.RecordBatch, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Runs of rows with about ``most`` bytes of text: first row, row after the last,
     their bytes and the offsets of each text in these. A null is an empty text."""
-    texts = batch.column(column)
+    texts = batch.column("text") if "text" in batch.schema.names else pc.struct_field(batch.column("row"), "text")
     if texts.null_count:
         texts = texts.fill_null("")
     if texts.type != pa.string():
@@ -92,13 +102,14 @@ def text_chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_B
 class Words:
     """Words ``[^\\x20\\x09-\\x0D]+`` of some texts.
 
+    Other bytes that separate words can be given as ``breaks``.
     ``start`` and ``end`` are byte positions, ``per_text`` says how many words each
     text has, ``first`` is the index of each text's first word (one more at the end).
     """
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = WHITE):
         self.raw = raw
-        inside = ~WHITE[raw]
+        inside = ~breaks[raw]
         begins, ends = inside.copy(), inside.copy()
         if raw.size:
             begins[1:] &= ~inside[:-1]
@@ -170,6 +181,22 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
+def per_text(flags: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """Sums of ``flags`` between each two neighbours of ``cuts``."""
+    return np.diff(np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))[cuts])
+
+
+def output(batch: pa.RecordBatch, keep: list[str], first: int, last: int, made: list, names: list[str]) -> pa.RecordBatch:
+    """``keep`` columns of some rows of a batch, then new columns."""
+    made = [x if isinstance(x, pa.Array) else pa.array(x) for x in made]
+    return pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, last - first) for c in keep), *made], [*keep, *names])
+
+
+def schema_of(df: DataFrame, keep: list[str]) -> str:
+    """``keep`` columns as the head of a schema string."""
+    return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*keep).schema)
+
+
 class HashArray:
     """Sorted 64-bit keys with a row number each; found by their top bits.
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import CHUNK_BYTES, HashArray, Words, materialise, mix, text_chunks
+from ledgerline.llm.common import CHUNK_BYTES, LOWER, HashArray, Words, materialise, mix, output, schema_of, text_chunks, with_text
 
 PAD, UNKNOWN = 0, 1
 #: N-grams that a task holds before it sends their counts on.
@@ -60,8 +60,6 @@ class Vocabulary:
         self.size = self.known.keys.size + 1
 
     def symbols(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        from ledgerline.llm.common import LOWER
-
         words = Words(raw, offsets)
         at = self.known.find(words.hashes(LOWER))
         return np.where(at < 0, UNKNOWN, at + 2).astype(np.uint16), words.per_text
@@ -309,7 +307,6 @@ def score_texts(df: DataFrame, units, model: Model, finish: Callable, columns: s
             for first, last, raw, offsets in text_chunks(batch, most=CHUNK_BYTES):
                 symbols, sizes = units.symbols(raw, offsets)
                 made = finish(model.score(symbols, sizes), sizes, raw, offsets)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, last - first) for c in keep), *map(pa.array, made)], [*keep, *names])
+                yield output(batch, keep, first, last, made, names)
 
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema)
-    return df.select(*keep, "text").mapInArrow(score, f"{kept}, {columns}")
+    return with_text(df, keep).mapInArrow(score, schema_of(df, keep) + columns)

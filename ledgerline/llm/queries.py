@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from ledgerline.llm.decontamination import op8_decontamination
 from ledgerline.llm.language_id import op5_language_id
+from ledgerline.llm.line_dedup import op2_line_dedup
 from ledgerline.llm.lm_scoring import op6_lm_scoring
+from ledgerline.llm.mixing import OP9_SQL, op9_mixing
 from ledgerline.llm.quality_classifier import op1_quality_classifier
+from ledgerline.llm.quality_rules import op7_quality_rules
+from ledgerline.llm.simhash import op4_simhash
+from ledgerline.llm.toxicity import op3_toxicity
+from ledgerline.llm.warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_line_dedup": op2_line_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op4_simhash": op4_simhash,
     "op5_language_id": op5_language_id,
     "op6_lm_scoring": op6_lm_scoring,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_decontamination": op8_decontamination,
+    "op9_mixing": op9_mixing,
+    "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators learn models or hash words in ways that SQL here does not have.
+ORACLE_SQL = {"op9_mixing": OP9_SQL, "op10_warc": OP10_SQL}

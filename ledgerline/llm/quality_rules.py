@@ -153,7 +153,7 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9, mos
     """Rules for bad rows, in order, by sequential covering on a bounded sample."""
     n = bad.size
     for_growing = np.arange(n) % 3 != 0
-    limits = {f: np.unique(np.quantile(v, np.linspace(0, 1, 65))) for f, v in x.items()} if n else {}
+    limits = {f: _between(np.unique(np.quantile(v, np.linspace(0, 1, 65), method="nearest"))) for f, v in x.items()} if n else {}
     rules, left = [], np.ones(n, bool)
     while len(rules) < most_rules and (left & bad & for_growing).any():
         rule = _prune(_grow(x, bad, left & for_growing, limits, most_conditions), x, bad, left & ~for_growing)
@@ -166,6 +166,10 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9, mos
     return rules
 
 
+def _between(values: np.ndarray) -> np.ndarray:
+    return (values[1:] + values[:-1]) / 2
+
+
 def _covers(rule, x) -> np.ndarray:
     return np.logical_and.reduce([c.holds(x) for c in rule]) if rule else np.zeros(next(iter(x.values())).size, bool)
 
@@ -178,6 +182,8 @@ def _grow(x, bad, rows, limits, most) -> list[Condition]:
             break
         best, gain = None, 1e-9
         for f, cuts in limits.items():
+            if not cuts.size:
+                continue
             at = np.searchsorted(cuts, x[f][rows], side="left")
             ps = np.bincount(at[bad[rows]], minlength=cuts.size + 1)[: cuts.size].cumsum()  # rows at or below each limit
             ns = np.bincount(at[~bad[rows]], minlength=cuts.size + 1)[: cuts.size].cumsum()

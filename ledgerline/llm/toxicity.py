@@ -7,12 +7,14 @@ letters they share, each weighted by ``DECAY`` to the power of its length with g
 inserted letters lower it a little instead of breaking it. Nyström landmarks, some of
 them insults and some harmless words, turn the kernel into a short vector, on which a
 linear machine is trained. A sentence's margin is that of its most toxic word, a
-text's that of its most toxic sentence; a logistic curve fitted on labelled texts
+text's that of its most toxic sentence; a rising step curve fitted on labelled texts
 makes it a probability.
 
-Training takes a bounded sample of labelled texts; their sentences inherit the label.
-Runs of four letters that occur in far more toxic texts than chance explains tell
-which of their words are insults; the others are examples of the opposite. The bounds
+Training takes a bounded sample of labelled texts. Their distinct lines, as sentences,
+inherit the label; one that clean texts also have is clean, and near copies of a text
+add only what differs. Runs of four letters that occur in far more toxic sentences than
+chance explains tell which of their words are insults; the others are examples of the
+opposite. The bounds
 are the parameters of ``fit``. Only words with two gapped letter triples that landmark
 insults have and harmless words rarely have are put through the kernel; all others
 share the lowest margin.
@@ -139,7 +141,7 @@ class Machine:
     weights: np.ndarray
     bias: float
     seeds: np.ndarray  # codes of triples, as a table of booleans
-    curve: tuple[float, float] = (0.0, 0.0)
+    curve: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.zeros(1))
 
     def margins(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Each text's highest margin of a word."""
@@ -162,8 +164,7 @@ class Machine:
         return hit
 
     def probability(self, margin: np.ndarray) -> np.ndarray:
-        a, b = self.curve
-        return 1 / (1 + np.exp(-np.clip(a * margin + b, -30, 30)))
+        return np.interp(margin, *self.curve)
 
 
 def _four_counts(sample: DataFrame) -> DataFrame:
@@ -212,18 +213,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, landmarks: int
     known = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = materialise(first_by_hash(known, "doc_id", sample))
     texts = docs.select("doc_id", "text").filter("text is not null").join(F.broadcast(chosen), "doc_id")  # bounded by ``sample``
-    # Equal texts count once, else a copied text would make its words telling.
     texts = materialise(texts.groupBy("text").agg(F.max("toxic").alias("toxic")))
-    kinds = {r[0]: r[1] for r in texts.groupBy("toxic").count().collect()}
+    sentences = texts.select(F.explode(F.split("text", "\n")).alias("text"), "toxic").groupBy("text").agg(F.min("toxic").alias("toxic"))
+    sentences = materialise(sentences)
+    kinds = {r[0]: r[1] for r in sentences.groupBy("toxic").count().collect()}
     bad, good = kinds.get(1, 0), sum(kinds.values()) - kinds.get(1, 0)
     share = bad / max(1, bad + good)
-    none = Machine(np.zeros((0, PIECE), np.uint8), np.zeros(0), np.zeros(0), 0.0, np.zeros(1 << 3 * BITS, bool), (0.0, float(np.log(max(share, 1e-3) / max(1 - share, 0.5)) if share < 0.5 else -0.1)))
+    none = Machine(np.zeros((0, PIECE), np.uint8), np.zeros(0), np.zeros(0), 0.0, np.zeros(1 << 3 * BITS, bool), (np.zeros(1), np.full(1, min(share, 0.49))))
     if not bad or not good:
         return none
-    # Chance alone rarely gives so many toxic texts among those with a run; at most 4,000 runs.
+    # Chance alone rarely gives so many toxic sentences among those with a run; at most 4,000 runs.
     surprise = F.col("toxic") * float(-np.log(share))
     rate = (F.col("toxic") / bad) / ((F.col("clean") + 0.5) / good)
-    table = materialise(_four_counts(texts)).filter((F.col("toxic") >= 3) & (surprise >= 12) & (rate >= 25)).orderBy(F.desc("toxic"), "code").limit(4_000).toArrow()
+    table = materialise(_four_counts(sentences)).filter((F.col("toxic") >= 3) & (surprise >= 12) & (rate >= 25)).orderBy(F.desc("toxic"), "code").limit(4_000).toArrow()
     fours = np.zeros(1 << 4 * BITS, bool)
     fours[table.column("code").to_numpy()] = True
     if not fours.any():
@@ -236,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, landmarks: int
         flag[at[np.isin(code, packed)]] = 1
         return pieces.counts(flag) > 0
 
-    counted = materialise(_word_counts(texts, telling, 50))
+    counted = materialise(_word_counts(sentences, telling, 50))
     odds = F.col("toxic") * good / ((F.col("clean") + 0.5) * bad)
     insults = counted.filter("telling = 1").filter(odds >= 5).orderBy(F.desc("toxic"), "word").limit(words).toArrow()
     harmless = counted.filter("telling = 0 or clean > 0").filter(odds < 5).orderBy(F.desc("telling"), F.xxhash64("word"), "word").limit(words).toArrow()
@@ -248,7 +250,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, landmarks: int
     marks = _apart(insult, landmarks * 3 // 4)
     machine = Machine(np.concatenate([marks, _apart(plain, landmarks - marks.shape[0])]), np.zeros(0), np.zeros(0), 0.0, _seeds(marks, plain))
     # Words that look like insults but are not; insults with a letter put in.
-    near = materialise(_word_counts(texts, lambda p: p.counts(machine.hits(p)) >= 2, 10**9)).filter(odds < 5).orderBy(F.desc("clean"), "word").limit(words).toArrow()
+    near = materialise(_word_counts(sentences, lambda p: p.counts(machine.hits(p)) >= 2, 10**9)).filter(odds < 5).orderBy(F.desc("clean"), "word").limit(words).toArrow()
     against = np.concatenate([plain, _rows(near)]) if near.num_rows else plain
     noisy = np.concatenate([_inserted(insult, rng) for _ in range(2)])
     x = np.concatenate([insult, noisy, against])
@@ -321,20 +323,17 @@ def _train(k_marks: np.ndarray, k: np.ndarray, y: np.ndarray, w: np.ndarray, pen
     return root @ theta[:-1], float(theta[-1])
 
 
-def _curve(margin: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve, with smoothed targets."""
-    pos, neg = n[toxic].sum(), n[~toxic].sum()
-    goal = np.where(toxic, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    x = np.column_stack([margin, np.ones(margin.size)])
-    theta = np.array([1.0, 0.0])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(x @ theta, -30, 30)))
-        h = (x * (n * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(h, x.T @ (n * (goal - p)) - 1e-3 * theta)
-        theta = theta + np.clip(step, -1, 1)
-        if np.abs(step).max() < 1e-6:
-            break
-    return float(max(theta[0], 0.0)), float(theta[1])
+def _curve(margin: np.ndarray, toxic: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The share of toxic texts by margin, made to rise by pooling neighbours that don't."""
+    blocks: list[list[float]] = []  # weighted margin, toxic, all
+    for m in np.unique(margin):
+        at = margin == m
+        blocks.append([m * n[at].sum(), n[at & toxic].sum(), n[at].sum()])
+        while len(blocks) > 1 and blocks[-2][1] * blocks[-1][2] >= blocks[-1][1] * blocks[-2][2]:
+            last = blocks.pop()
+            blocks[-1] = [x + y for x, y in zip(blocks[-1], last, strict=True)]
+    at, bad, total = np.array(blocks, float).T
+    return at / total, np.maximum.accumulate((bad + 0.1) / (total + 0.2))
 
 
 def with_margins(docs: DataFrame, machine: Machine, keep: list[str]) -> DataFrame:

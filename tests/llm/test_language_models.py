@@ -1,0 +1,183 @@
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm.language_id import identify, op5_language_id
+from ledgerline.llm.lm_scoring import score, word_counts
+from ledgerline.llm.ngram import Characters, Vocabulary, codes, count_ngrams, estimate, learn_characters
+from ledgerline.llm.quality_classifier import fit, keep_good
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def brute_force(texts, order, units, discounts):
+    """Modified Kneser-Ney by the textbook, on lists of symbols."""
+    counts = {order: Counter()}
+    for symbols in texts:
+        padded = [0] * (order - 1) + symbols
+        counts[order].update(tuple(padded[i : i + order]) for i in range(len(symbols)))
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+
+    def p(gram):
+        k = len(gram)
+        if k == 0:
+            return 1 / units.size
+        d = discounts(counts[k])
+        context = {g: c for g, c in counts[k].items() if g[:-1] == gram[:-1]}
+        if not context:
+            return p(gram[1:])
+        total = sum(context.values())
+        back = sum(min(c, d[min(c, 3) - 1]) for c in context.values()) / total
+        c = counts[k].get(gram, 0)
+        return (c - min(c, d[min(c, 3) - 1]) if c else 0) / total + back * p(gram[1:])
+
+    return p
+
+
+def discounts(counts):
+    from ledgerline.llm.ngram import _discounts
+
+    n = Counter(counts.values())
+    return _discounts({f"n{i}": n.get(i, 0) for i in (1, 2, 3, 4)})
+
+
+@pytest.mark.parametrize("groups", [["x"], ["x", "y"]])
+def test_model_equals_the_textbook(spark, groups):
+    rng = random.Random(5)
+    texts = {g: ["".join(rng.choices("abcd ", [5, 3, 2, 1, 3], k=rng.randint(0, 40))) for _ in range(12)] for g in groups}
+    rows = [(g, t) for g in groups for t in texts[g]] + [(groups[0], None), (groups[0], "")]
+    df = spark.createDataFrame(rows, "g string, text string")
+    units = learn_characters(df)
+    assert units.size == 6
+    model = estimate(count_ngrams(df, units, 3), 3, units)
+    assert model.groups == groups
+    for column, g in enumerate(groups):
+        symbols = [[int(units.table[ord(c)]) for c in t] for t in texts[g]]
+        p = brute_force(symbols, 3, units, discounts)
+        for probe in ["abcab", "ddd", "zza", "a b c d", "q"]:
+            raw = np.frombuffer(probe.encode(), np.uint8)
+            got, sizes = units.symbols(raw, np.array([0, raw.size]))
+            padded = [0, 0, *got.tolist()]
+            want = sum(math.log(p(tuple(padded[i : i + 3]))) for i in range(len(probe)))
+            assert model.score(got, sizes)[0, column] == pytest.approx(want, abs=1e-3)
+
+
+def test_probabilities_add_up_to_one(spark):
+    df = spark.createDataFrame([("", "the cat sat on the mat and the rat")], "g string, text string")
+    units = learn_characters(df)
+    model = estimate(count_ngrams(df, units, 3), 3, units)
+    for context in ("th", "zz", "t"):
+        raw = [int(units.table[ord(c)]) for c in context]
+        grams = np.array([(([0, 0] + raw)[-2] << 16) | (raw[-1] << 8) | s for s in range(1, units.size + 1)])
+        assert np.exp(model.log_p(grams)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_pruning_bounds_the_model(spark):
+    rng = random.Random(2)
+    df = spark.createDataFrame([("", "".join(rng.choices("abcdefgh", k=3000)))], "g string, text string")
+    units = learn_characters(df)
+    whole = estimate(count_ngrams(df, units, 4), 4, units)
+    small = estimate(count_ngrams(df, units, 4), 4, units, most=1000)
+    size = sum(g[1].shape[0] for g in small.grams)
+    assert size <= 1000 < sum(g[1].shape[0] for g in whole.grams)
+
+
+def test_codes_stop_at_the_start_of_a_text():
+    assert codes(np.array([2, 3, 4], np.uint8), np.array([1, 0, 2]), 2, 8).tolist() == [2, 3, 3 << 8 | 4]
+
+
+def test_language_is_found_on_held_out_texts(spark):
+    rows = op5_language_id(spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert rows.count() == docs.count()
+    held = rows.join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").select((F.col("lang") == F.col("lang_pred")).alias("ok"), "score").collect()
+    assert len(held) > 100 and sum(r.ok for r in held) / len(held) > 0.97
+    assert all(0 <= r.score <= 1 for r in held)
+
+
+def test_language_of_odd_rows(spark):
+    train = spark.createDataFrame([(i, ["the cat and the dog ", "der hund und die katze "][i % 2] * 4, ["en", "de"][i % 2]) for i in range(60)] + [(61, None, "en"), (62, "x", None)], "doc_id bigint, text string, lang string")
+    odd = [(1, None), (2, ""), (3, "12 34 !"), (4, "der hund"), (4, "der hund"), (None, "the dog"), (5, "the cat " * 50_000)]
+    got = sorted(identify(spark.createDataFrame(odd, "doc_id bigint, text string"), train).select("doc_id", "lang_pred", "rejected").collect(), key=lambda r: (r.doc_id or 0, r.lang_pred))
+    assert [(r.doc_id, r.lang_pred) for r in got] == [(None, "en"), (1, "und"), (2, "und"), (3, "und"), (4, "de"), (4, "de"), (5, "en")]
+    assert [r.rejected for r in got][1:4] == [True] * 3
+    nothing = identify(spark.createDataFrame(odd, "doc_id bigint, text string"), train.limit(0)).collect()
+    assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
+    assert identify(train.limit(0), train).count() == 0
+
+
+def test_quality_keeps_trusted_text_and_drops_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = fit(docs, labels.filter("quality = 1")).judge(docs, ["doc_id"]).join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect()
+    share = {r[0]: r[1] for r in got}
+    assert share[1] > 0.97 and share[0] < 0.3
+
+
+def test_quality_of_odd_rows(spark):
+    rng = random.Random(1)
+    words = ["stone", "river", "green", "walk", "the", "of", "and"]
+    good = [(i, " ".join(rng.choices(words, k=rng.randint(5, 60))), "en", "a", 0) for i in range(300)]
+    odd = [(900, None, "en", None, None), (901, "", None, "a", 0), (902, "#$%& @@@@ ||| " * 20, "en", "a", 0), (903, "the river and the stone", "xx", "a", 0), (904, "green river " * 40_000, None, "a", 0), (None, "walk of the river", "en", "a", 0), (1, good[1][1], "en", "a", 0)]
+    docs = spark.createDataFrame(good + odd, DOCS).selectExpr("*", "1 as loss", "'x' as kept", "2 as perplexity", "3 as row", "4 as __lang")
+    trusted = spark.createDataFrame([(i,) for i in range(300)] + [(None,)], "doc_id bigint")
+    kept = keep_good(docs, trusted)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.select("doc_id").collect()]
+    assert not {900, 901, 902} & {*ids} and 903 in ids and None in ids and ids.count(1) == 2
+    assert keep_good(docs.limit(0), trusted).count() == 0
+    assert keep_good(docs, trusted.limit(0)).count() == docs.filter("text <> ''").count()
+
+
+def test_scores_are_differences_of_losses(spark):
+    docs = [(1, "stone river stone"), (2, "moon"), (3, ""), (4, None), (5, "river Stone moon sun"), (5, "river Stone moon sun"), (6, "river " * 50_000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    target = spark.createDataFrame([("stone river stone river",)], "text string")
+    rows = {r.doc_id: r for r in score(df, target).collect()}
+    counts = {r.word: r.c for r in word_counts(df).collect()}
+    assert sorted(counts.values()) == [2, 3, 4, 50_003]
+    assert rows[3].score is None and rows[4].score is None and rows[4].n_tokens == 0
+    assert rows[1].score < 0 < rows[2].score
+    assert all(r.score == pytest.approx(r.target_loss - r.background_loss) for r in rows.values() if r.score is not None)
+    assert {r.score for r in score(df, target.limit(0)).collect()} == {None}
+    assert score(df.limit(0), target).count() == 0
+
+
+def test_word_model_equals_the_textbook(spark):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["a", "b", "c", "d"], [6, 3, 2, 1], k=rng.randint(1, 30))) for _ in range(15)]
+    df = spark.createDataFrame([("g", t) for t in texts], "g string, text string")
+    words = word_counts(df).orderBy(F.desc("c"), "word").limit(3).toArrow()
+    units = Vocabulary(words.column("word").to_numpy().view(np.uint64))
+    model = estimate(count_ngrams(df, units, 2), 2, units)
+    number = {}
+    for w in "abcde":
+        raw = np.frombuffer(w.encode(), np.uint8)
+        number[w] = int(units.symbols(raw, np.array([0, 1]))[0][0])
+    assert sorted(number.values()) == [1, 1, 2, 3, 4] and number["e"] == 1
+    p = brute_force([[number[w] for w in t.split()] for t in texts], 2, units, discounts)
+    for probe in ("a b c d", "e a", "d d d"):
+        raw = np.frombuffer(probe.encode(), np.uint8)
+        symbols, sizes = units.symbols(raw, np.array([0, raw.size]))
+        padded = [0, *(number[w] for w in probe.split())]
+        want = sum(math.log(p(tuple(padded[i : i + 2]))) for i in range(len(padded) - 1))
+        assert model.score(symbols, sizes)[0, 0] == pytest.approx(want, abs=1e-3)
+
+
+def test_texts_are_scored_alike_in_any_company(spark):
+    df = spark.createDataFrame([("", "the cat sat on the mat " * 5)], "g string, text string")
+    units = learn_characters(df)
+    model = estimate(count_ngrams(df, units, 4), 4, units)
+    texts = ["the mat", "", "zebra", "the mat"]
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0] + [len(t) for t in texts])
+    together = model.score(*units.symbols(raw, offsets))
+    for k, t in enumerate(texts):
+        one = np.frombuffer(t.encode(), np.uint8)
+        assert model.score(*units.symbols(one, np.array([0, one.size])))[0, 0] == pytest.approx(together[k, 0], abs=1e-4)
+    assert together[0, 0] == together[3, 0] and isinstance(units, Characters) and defaultdict

@@ -1,3 +1,3 @@
-from ledgerline.functions.money import exact_sum, hundredths
+from ledgerline.functions.money import exact_sum, hundredths, require_ansi
 
-__all__ = ["exact_sum", "hundredths"]
+__all__ = ["exact_sum", "hundredths", "require_ansi"]

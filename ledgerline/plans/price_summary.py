@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions import exact_sum, hundredths
+from ledgerline.functions import exact_sum, hundredths, require_ansi
 from ledgerline.sources import table
 
 # The date and both money columns as the SQL check states them.
@@ -25,8 +25,11 @@ def price_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line count, price and discounted revenue per return flag and line status.
 
     One scan and one shuffle. Each map task sends at most one row per group, so
-    a group that holds most of the rows costs no more than a small one.
+    a group that holds most of the rows costs no more than a small one. Prices and
+    discounts with a third decimal raise an error, and so does a session without ANSI
+    mode, where the product could overflow unnoticed.
     """
+    require_ansi()
     shipped = table(spark, sf_dir, "lineitem").filter(
         F.col("l_shipdate") <= F.expr("timestamp_ntz'2001-06-30 00:00:00'")
     )

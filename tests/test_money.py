@@ -2,10 +2,10 @@ import random
 from fractions import Fraction
 
 import pytest
-from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from ledgerline.functions import exact_sum, hundredths
+from ledgerline.plans import price_summary
 
 
 def test_hundredths_restores_every_cent(spark):
@@ -14,20 +14,52 @@ def test_hundredths_restores_every_cent(spark):
     assert frame.filter(hundredths("amount") != F.col("cents")).count() == 0
 
 
-def test_hundredths_rounds_halves_away_from_zero_and_keeps_null(spark):
-    amounts = [0.125, -0.125, 0.375, -0.0, 0.004, -0.004, None]
-    frame = spark.createDataFrame([(i, a) for i, a in enumerate(amounts)], "i int, amount double")
-    got = [r[0] for r in frame.orderBy("i").select(hundredths("amount")).collect()]
-    assert got == [13, -13, 38, 0, 0, 0, None]
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
-@pytest.mark.parametrize("bad", [float("nan"), float("inf"), 1e300])
-def test_hundredths_raises_on_what_is_no_amount(spark, bad):
+def test_hundredths_is_exact_up_to_its_bound_and_keeps_null(spark, ansi):
+    rng = random.Random(51)
+    cents = [rng.randrange(2**k, 2 ** (k + 1)) for k in range(30, 51) for _ in range(2_000)] + [2**51 - 1, 0]
+    rows = [(s * c, s * c / 100) for c in cents for s in (1, -1)] + [(None, None), (0, -0.0)]
+    frame = spark.createDataFrame(rows, "cents bigint, amount double")
+    assert frame.filter(~hundredths("amount").eqNullSafe(F.col("cents"))).count() == 0
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf"), 1e300, 35184452192298.38, 2**51 / 100, 0.125, -0.004, 12345678.901])
+def test_hundredths_raises_on_what_is_no_amount(spark, ansi, bad):
     frame = spark.createDataFrame([(bad,)], "amount double")
-    with pytest.raises(ArithmeticException):
+    with pytest.raises(Exception, match="not an amount of whole hundredths"):
         frame.select(hundredths("amount")).collect()
 
 
+@pytest.mark.parametrize("scale", [0, 10, -1])
+def test_exact_sum_refuses_other_scales(spark, scale):
+    with pytest.raises(ValueError, match="scale"):
+        exact_sum(F.col("units"), scale)
+
+
+@pytest.mark.parametrize("scale", [1, 9])
+def test_exact_sum_at_the_ends_of_its_scale(spark, scale):
+    units = [123456789012345678, -1, 5]
+    frame = spark.createDataFrame([(u,) for u in units], "units bigint")
+    assert frame.agg(exact_sum(F.col("units"), scale)).collect()[0][0] == float(Fraction(sum(units), 10**scale))
+
+
+def test_exact_sum_needs_ansi_mode(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            exact_sum(F.col("units"), 2)
+        with pytest.raises(ValueError, match="ansi"):
+            price_summary(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_exact_sum_against_brute_force(spark):
     rng = random.Random(7)
     rows = []

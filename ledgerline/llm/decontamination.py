@@ -94,8 +94,8 @@ def with_hits(docs: DataFrame, items: Items, keep: list[str], least: float) -> D
                 order = np.lexsort((at, item, of[at]))
                 at, item, q = at[order], item[order], q[order]
                 text = of[at]
-                begin = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(item) != 0)))) if at.size else []
-                for a, b in zip(begin, [*begin[1:], at.size], strict=True):
+                cuts = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(item) != 0), [True]))) if at.size else at
+                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     places = np.unique(q[a:b])
                     if np.minimum(np.diff(places), width).sum() + width < least * items.size[item[a]]:
                         continue  # all its seeds together don't cover enough

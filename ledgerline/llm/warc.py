@@ -11,7 +11,8 @@ Each task writes archives of bounded size under names that no other attempt uses
 returns the names; a lost or repeated attempt leaves a file that nothing refers to.
 Files lie in the folder that all executors share, through ``pyarrow.fs``.
 
-Defined results: a null payload is an empty one, a null url an empty one. Records with
+Defined results: a null payload is an empty one, a null url an empty one; line ends in a
+url are percent-encoded. Records with
 equal payloads of at least ``LEAST_REVISIT`` bytes are revisits of the one with the
 smallest page_id; without any page_id in such a group all are responses. Rows that
 repeat with their page_id are records each. An empty table gives no archive.
@@ -37,6 +38,8 @@ from ledgerline.llm.common import materialise, read, scratch_path
 LEAST_REVISIT = 100
 #: An archive is closed after so many bytes or records, whichever is reached first.
 ARCHIVE_BYTES, ARCHIVE_RECORDS = 256_000_000, 100_000
+#: Archived bytes that a reading task gets.
+TASK_BYTES = 64_000_000
 #: More payloads with copies than this are joined by a shuffle.
 BROADCAST_GROUPS = 100_000
 DATE = "2024-01-01T00:00:00Z"
@@ -79,7 +82,7 @@ def record(page_id, url: str, payload: bytes, digest: str, kind: str, refers_to)
 
 
 def write_archives(typed: DataFrame, folder: str) -> DataFrame:
-    """Writes ``with_types`` rows to archives under ``folder``; a row (path) for each."""
+    """Writes ``with_types`` rows to archives under ``folder``; a row (path, bytes) for each."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -95,13 +98,13 @@ def write_archives(typed: DataFrame, folder: str) -> DataFrame:
                         page_id, url, html, digest, kind, refers_to = (x.as_py() for x in row)
                         made = record(page_id, url, html.encode(), digest, kind, refers_to)
                         member.write(made)
-                        index.append(f"{url.split('://')[-1].split(' ')[0] or '-'} 20240101000000 {json.dumps({'url': url, 'filename': 'data.warc.gz', 'offset': str(at), 'length': str(len(made))})}\n")
+                        index.append(f"{(url.split('://')[-1].split() or ['-'])[0]} 20240101000000 {json.dumps({'url': url, 'filename': 'data.warc.gz', 'offset': str(at), 'length': str(len(made))})}\n")
                         at += len(made)
                         row = next(rows, None)
                 archive.writestr("indexes/index.cdxj", "".join(sorted(index)))
-            yield pa.RecordBatch.from_pydict({"path": [path]})
+            yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [at]})
 
-    return materialise(typed.select("page_id", "url", "html", "digest", "record_type", "refers_to").mapInArrow(write, "path string"))
+    return materialise(typed.select("page_id", "url", "html", "digest", "record_type", "refers_to").mapInArrow(write, "path string, bytes bigint"))
 
 
 # Reading
@@ -259,7 +262,7 @@ _RECORD = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("p
 
 
 def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
-    """The records of archives (path), one row each; with ``payloads`` also url and
+    """The records of archives (path, bytes), one row each; with ``payloads`` also url and
     payload (null for a revisit, whose response has it)."""
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,9 +295,12 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = False) -> D
         if rows:
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    found = archives.mapInArrow(locate, "path string, at bigint, length bigint")
-    # Neighbouring records of an archive go to one task, 4 MB or so of them.
-    dealt = found.repartition("path", F.floor(F.col("at") / 4_000_000)).sortWithinPartitions("path", "at")
+    found = archives.select("path").mapInArrow(locate, "path string, at bigint, length bigint")
+    # Records go to tasks in runs of 4 MB or so. The number of tasks follows the bytes in
+    # the archives, of which the few bytes that are shuffled tell nothing.
+    total = archives.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    tasks = max(2 * archives.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    dealt = found.repartition(tasks, "path", F.floor(F.col("at") / 4_000_000)).sortWithinPartitions("path", "at")
     return dealt.mapInArrow(fetch, RECORD + ", url string, payload binary" * payloads)
 
 

@@ -149,8 +149,10 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
 
 
-def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9, most_rules: int = 20, most_conditions: int = 4) -> list[list[Condition]]:
-    """Rules for bad rows, in order, by sequential covering on a bounded sample."""
+def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.95, support: int = 5, most_rules: int = 20, most_conditions: int = 4) -> list[list[Condition]]:
+    """Rules for bad rows, in order, by sequential covering on a bounded sample. A rule must
+    cover ``support`` bad rows that it was not grown on, and be right for a share of
+    ``precision`` there and overall."""
     n = bad.size
     for_growing = np.arange(n) % 3 != 0
     limits = {f: _between(np.unique(np.quantile(v, np.linspace(0, 1, 65), method="nearest"))) for f, v in x.items()} if n else {}
@@ -159,7 +161,7 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.9, mos
         rule = _prune(_grow(x, bad, left & for_growing, limits, most_conditions), x, bad, left & ~for_growing)
         covered = left & _covers(rule, x)
         p, all_covered = (covered & bad & ~for_growing).sum(), (covered & ~for_growing).sum()
-        if not rule or p < 3 or p / all_covered < precision or (covered & bad).sum() / covered.sum() < precision:
+        if not rule or p < support or p / all_covered < precision or (covered & bad).sum() / covered.sum() < precision:
             break
         rules.append(rule)
         left &= ~covered

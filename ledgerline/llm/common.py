@@ -62,6 +62,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: smaller than a checkpoint."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, what: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"

@@ -152,11 +152,11 @@ def lines_fixture():
     return rows
 
 
-@pytest.mark.parametrize("first_ones, most", [(8, 10**6), (1, 60)])
-def test_lines_equal_brute_force(spark, first_ones, most):
+@pytest.mark.parametrize("first_ones, listed, most", [(2, 32, 10**6), (1, 2, 60)])
+def test_lines_equal_brute_force(spark, first_ones, listed, most):
     rows = lines_fixture()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    got = {(r.doc_id, r.line_no): (r.match_doc_id, r.match_line_no) for r in line_dedup.find(docs, first_ones=first_ones, most=most).collect()}
+    got = {(r.doc_id, r.line_no): (r.match_doc_id, r.match_line_no) for r in line_dedup.find(docs, first_ones=first_ones, listed=listed, most=most).collect()}
     want = brute_lines(rows)
     assert got.keys() == want.keys()
     assert all(match in want[key] for key, match in got.items())

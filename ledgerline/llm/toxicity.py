@@ -27,7 +27,7 @@ share of toxic texts, limited to under 0.5. Repeated rows get equal results.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +40,8 @@ from ledgerline.llm.ngram import runs
 ORDER, DECAY = 3, 0.6
 #: A longer word is taken in overlapping pieces.
 PIECE, STRIDE = 24, 12
+#: Words whose margin a task remembers.
+MOST_MET = 200_000
 #: Margin of a text without any word that is put through the kernel.
 LOWEST = -2.0
 
@@ -142,6 +144,7 @@ class Machine:
     bias: float
     seeds: np.ndarray  # codes of triples, as a table of booleans
     curve: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.zeros(1))
+    met: dict[bytes, float] = field(default_factory=dict)
 
     def margins(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Each text's highest margin of a word."""
@@ -151,11 +154,22 @@ class Machine:
         if chosen.size and self.landmarks.size:
             rows = pieces.matrix(chosen)
             distinct, at = np.unique(rows.view(f"V{PIECE}").ravel(), return_inverse=True)
-            words = distinct.view(np.uint8).reshape(-1, PIECE)
-            margin = normalised(words, self.landmarks, self.norm) @ self.weights + self.bias
+            margin = self.word_margins(distinct)
             np.maximum.at(out, pieces.text[chosen], np.maximum(margin[at], LOWEST))
         return out
 
+    def word_margins(self, distinct: np.ndarray) -> np.ndarray:
+        """Margins of words; those that a task has met before are looked up."""
+        keys = distinct.tolist()
+        if len(self.met) > MOST_MET:
+            self.met.clear()
+        new = [k for k, key in enumerate(keys) if key not in self.met]
+        if new:
+            words = distinct[new].view(np.uint8).reshape(-1, PIECE)
+            margin = normalised(words, self.landmarks, self.norm) @ self.weights + self.bias
+            self.met.update(zip((keys[k] for k in new), margin.tolist(), strict=True))
+        return np.array([self.met[key] for key in keys])
+
     def hits(self, pieces: Pieces) -> np.ndarray:
         hit = np.zeros(pieces.letter.size, np.int64)
         for at, code in pieces.triples():

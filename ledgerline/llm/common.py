@@ -7,6 +7,7 @@ gets, apart from the longest single text.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that are turned into numpy arrays at once.
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 400_000
 
 #: Space, tab, line feed, vertical tab, form feed, carriage return.
 WHITE = np.zeros(256, dtype=bool)
@@ -104,6 +105,18 @@ def text_chunks(batch: pa.RecordBatch, most: int = CHUNK_BYTES) -> Iterator[tupl
         last = min(last, n)
         yield first, last, raw[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Returns the memory that a batch has freed to the system, so that a worker that
+    waits for its next task, or works beside others, holds no more than it needs."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 class Words:

@@ -24,7 +24,7 @@ from ledgerline.llm.common import CHUNK_BYTES, LOWER, HashArray, Words, material
 
 PAD, UNKNOWN = 0, 1
 #: N-grams that a task holds before it sends their counts on.
-HELD = 1_500_000
+HELD = 400_000
 
 
 class Characters:
@@ -104,7 +104,7 @@ def count_ngrams(df: DataFrame, units, order: int) -> DataFrame:
                     part = np.sort(code if of is None else code[of == g])
                     distinct, begin = runs(part)
                     held.setdefault(g, []).append((distinct, np.diff(np.append(begin, part.size))))
-                    if len(held[g]) > 8:
+                    if len(held[g]) > 4:
                         held[g] = [_merge(held[g])]
                 size = sum(x[0].size for parts in held.values() for x in parts)
                 if size > HELD:

@@ -12,6 +12,7 @@ from ledgerline.llm.quality_rules import op7_quality_rules
 from ledgerline.llm.simhash import op4_simhash
 from ledgerline.llm.toxicity import op3_toxicity
 from ledgerline.llm.warc import OP10_SQL, op10_warc
+from ledgerline.llm.whitening import op11_embedding_whitening
 
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 #: The other operators learn models or hash words in ways that SQL here does not have.

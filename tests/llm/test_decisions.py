@@ -190,10 +190,91 @@ def test_toxicity_without_examples(spark):
     assert toxicity.with_margins(df.limit(0), machine, ["doc_id"]).count() == 0
 
 
-def test_held_out_insults_are_found(spark):
+def table_machine(words, weights, bias=-0.4):
+    """A machine of some landmarks, and the margin it must give by its definition."""
+    rows = marked(*words)
+    norm = [brute_kernel(w, w) ** 0.5 for w in map(framed, words)]
+    code = toxicity.triples(rows)
+    table = np.bincount(code.ravel(), (toxicity.FADED * (np.array(weights) / norm)[:, None]).ravel(), 1 << 18)
+    table[0] = 0
+
+    def margin(word):
+        own = framed(word)
+        return sum(w * brute_kernel(own, framed(m)) / n for w, m, n in zip(weights, words, norm)) / brute_kernel(own, own) ** 0.5 + bias
+
+    return toxicity.Machine(table, bias), margin
+
+
+def framed(word):
+    return "^" + word + "$"
+
+
+def marked(*words):
+    raw = [w.encode() for w in words]
+    pieces = toxicity.Pieces(np.frombuffer(b"".join(x + b" " for x in raw), np.uint8), np.array([0, sum(len(x) + 1 for x in raw)]))
+    return pieces.matrix(np.arange(len(words)))
+
+
+def test_margins_and_evidence_equal_their_definitions():
+    rng = random.Random(3)
+    machine, margin = table_machine(["idiot", "scum", "house", "worthless"], [1.2, 0.9, -0.8, 0.7])
+    words = ["idiot", "idxiot", "sxcum", "houses", "to", "tooth", "worth", *("".join(rng.choices("idotscum", k=rng.randint(2, 14))) for _ in range(150))]
+    want = np.array([margin(w) for w in words])
+    assert machine.margins(marked(*words)) == pytest.approx(want, abs=1e-6)
+    raw = np.frombuffer(" ".join(words).encode(), np.uint8)
+    for least in (-0.3, 0.0, 0.2):
+        found, exact = machine.above(toxicity.Pieces(raw, np.array([0, raw.size])), least)
+        assert found.tolist() == np.flatnonzero(want >= least).tolist()
+        assert exact == pytest.approx(want[found], abs=1e-6)
+    machine.steps = np.array([0.0, 0.4]), np.array([2_000, 7_000])
+    worth = np.where(want >= 0.4, 7_000, np.where(want >= 0, 2_000, 0))
+    texts = [words[a : a + n] for a, n in ((0, 3), (2, 60), (10, 0), (5, 140), (20, 90))] * 2
+    raw = [" ".join(t).encode() for t in texts]
+    got = machine.evidence(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert got.tolist() == [sum(worth[a : a + n]) for a, n in ((0, 3), (2, 60), (10, 0), (5, 140), (20, 90))] * 2
+    long_ = np.array([worth[i % 157] for i in range(700)])
+    raw = " ".join(words[i % 157] for i in range(700)).encode()
+    want = max(long_[max(0, i - toxicity.SPAN + 1) : i + 1].sum() for i in range(700))
+    assert machine.evidence(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])).tolist() == [want]
+
+
+def test_scores_do_not_depend_on_partitions_or_files(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "toxic")
+    seen = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, files in ((1, 1), (4, 6), (60, 1)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            docs.repartition(files, F.xxhash64("doc_id")).write.parquet(f"{tmp_path}/{parts}")
+            one = spark.read.parquet(f"{tmp_path}/{parts}")
+            seen.append(sorted(map(tuple, toxicity.with_margins(one, toxicity.fit(one, labels), ["doc_id"]).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] == seen[2]
+    assert len({r[2] for r in seen[0]}) > 5
+
+
+def test_held_out_toxic_texts_are_found_in_every_language(spark):
     from ledgerline.llm.toxicity import op3_toxicity
 
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", F.lower("text").rlike("idiot|scum|moron|clown|loser|pathetic|worthless|disgusting|stupid|trash").alias("insult"))
-    got = {(r[0], r[1]): r[2] for r in op3_toxicity(spark, "/root/testdata/sf0.1").filter("held_out").join(docs, "doc_id").groupBy("insult", "predicted").count().collect()}
-    assert got[True, 1] / (got[True, 1] + got.get((True, 0), 0)) > 0.95
-    assert got.get((False, 1), 0) / got[False, 0] < 0.01
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    langs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    rows = op3_toxicity(spark, sf).filter("held_out").join(labels, "doc_id").join(langs, "doc_id").groupBy("lang", "toxic", "predicted").count().collect()
+    got = Counter()
+    for r in rows:
+        for lang in (r.lang, "all"):
+            got[lang, r.toxic, r.predicted] += r["count"]
+    for lang in ("all", "en", "de", "fr", "es"):
+        assert got[lang, 1, 1] >= 0.9 * (got[lang, 1, 0] + got[lang, 1, 1]), (lang, got)
+        assert got[lang, 0, 1] <= 0.02 * (got[lang, 0, 0] + got[lang, 0, 1]), (lang, got)
+    assert got["all", 1, 1] >= 0.9 * (got["all", 1, 1] + got["all", 0, 1])
+    known = toxicity.fit(spark.read.parquet(f"{sf}/documents.parquet"), labels.filter(F.crc32(F.col("doc_id").cast("string")) % 3 != 1))
+    insults = "idiot scum moron clown loser pathetic worthless disgusting stupid trash".split()
+    changed = "idxiot i.d.i.o.t scxum sxcxum moxron clxown clxoxwn loxser patxhetic IDIOT tr4sh".split()
+    harmless = "idiom house motion students crown lose".split()
+    df = spark.createDataFrame([(w,) for w in insults + changed + harmless], "text string").withColumn("word", F.col("text"))
+    score = {r.word: r.score for r in toxicity.with_margins(df, known, ["word"]).collect()}
+    assert all(score[w] >= 0.7 for w in insults + changed), score
+    assert all(score[w] < 0.5 for w in harmless), score

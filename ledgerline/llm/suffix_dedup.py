@@ -50,14 +50,14 @@ WINDOW = LENGTH - ANCHOR + 1
 #: Bytes of a long text that are worked on at once.
 SEGMENT = 400_000
 #: Anchors, and bytes of cuttings, that a task holds before it sends them on.
-HELD_ANCHORS, HELD_BYTES = 1_000_000, 24_000_000
+HELD_ANCHORS, HELD_BYTES = 1_000_000, 4_000_000
 #: Anchors of a shard, as planned.
 SHARD = 500_000
 #: Copies from which on an anchor's cuttings are dealt one by one; how many such anchors
 #: there are at most (beyond that, only the more frequent ones count as such).
 HOT, MOST_HOT = 4_096, 1_000_000
 #: Bytes of cuttings that are sorted at once.
-SORTED_BYTES = 4_000_000
+SORTED_BYTES = 2_000_000
 
 LAST = 2**63 - 1
 _BASE = 0x9E3779B97F4A7C15

@@ -62,6 +62,39 @@ def test_mix_meets_targets_and_is_repeatable(spark):
     assert used <= set(range(8)) and len(used) > 4
 
 
+def test_equal_rows_are_drawn_in_part(spark):
+    """Rows without doc_id, or with the same one, count one by one where a quota ends."""
+    rows = [(None, "w " * 10, "a", 0)] * 3000 + [(i, "w " * 50, "b", 0) for i in range(2000)] + [(7, "w " * 9, "c", 0)] * 500 + [(None, f"w {i}", "d", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    takes = []
+    for seed, parts in ((1, 5), (1, 2), (2, 5)):
+        planned = mixing.plan(docs.repartition(parts), seed=seed)
+        by = planned.groupBy("source").agg(F.sum(F.col("__size") * F.size("__shards")).alias("taken"), F.first("__target").alias("target"), F.max("__size").alias("longest"), F.count("*").alias("n"))
+        for r in by.collect():
+            assert abs(r.taken - r.target) <= r.longest, r
+        takes.append(sorted((str(r.doc_id), r.source, str(r.text), len(r["__shards"]), *r["__shards"]) for r in planned.collect()))
+        assert len(takes[-1]) == len(rows)
+    assert [t[:4] for t in takes[0]] == [t[:4] for t in takes[1]]
+    assert sum(a[:4] != b[:4] for a, b in zip(takes[0], takes[2])) > 50
+
+
+def test_shards_draw_what_the_leaves_say(spark):
+    """Each shard draws as many blocks of a source as its leaf has, and no block twice in a copy."""
+    docs, _ = documents(spark)
+    facts = mixing._facts(docs.select("doc_id", "source", "text"))
+    sources = {r["__key"]: r for r in mixing._source_rows(facts.select("__key", "source", "__slot", "__size"), 3, mixing.WEIGHTS, 1).collect()}
+    seen = {}
+    for r in mixing.plan(docs.withColumn("own", F.lit(1))).join(facts.select("doc_id", "__slot", "__key").distinct(), "doc_id").collect():
+        for copy, shard in enumerate(r["__shards"]):
+            home = seen.setdefault((r["__key"], copy, r["__slot"] // 1024), shard)
+            assert home == shard
+    for key, source in sources.items():
+        assert sorted(source["__places"][:64]) == list(range(64))
+        ends = [0, *source["__ends"]]
+        for shard in range(8):
+            assert sum(k[0] == key and s == shard for k, s in seen.items()) <= ends[shard + 1] - ends[shard]
+
+
 def test_tree_deals_out_exact_quotas(spark):
     quotas = {"a": 500, "b": 37, "c": 1, "d": 0}
     df = spark.createDataFrame(list(quotas.items()), "__key string, n int")

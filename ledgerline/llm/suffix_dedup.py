@@ -4,15 +4,16 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts earlier:
 document with a smaller doc_id, or earlier in the same one.
 
 Sorting every suffix of a corpus would move many times its size, so suffixes that are
-alone are set aside first. Of the 51 runs of 50 bytes in a string of 100, the one with
+alone are set aside first. Of the 61 runs of 40 bytes in a string of 100, the one with
 the lowest hash is its anchor; it depends on these 100 bytes only, so equal strings have
-equal anchors. Neighbouring strings mostly share an anchor: there is one for 26 bytes.
+equal anchors. Neighbouring strings mostly share an anchor: there is one for 31 bytes.
+Anchors meet by 48 bits of their hash; chance matches only cost time.
 
 1. Tasks list their anchors, in packed blobs for each shard of the hash.
 2. Shards find the anchors that occur twice. Copies within a blob are counted there, so a
    frequent anchor arrives once for each blob, not for each copy.
 3. Tasks cut out the text around such anchors: the suffixes that start in a stretch of
-   at most 51 bytes, followed by the 99 bytes that the last of them needs. Equal cuttings
+   at most 61 bytes, followed by the 99 bytes that the last of them needs. Equal cuttings
    of a task are reduced to the first; later ones are repeats. An anchor with over
    ``HOT`` copies is cut into single strings, dealt by their own hash, as contexts of
    one anchor can be many while each string is dealt to a shard of its own.
@@ -45,12 +46,12 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import CHUNK_BYTES, give_back, mix, output, ranges, read, schema_of, stored, text_chunks
 
 #: Bytes of a string that must not repeat, and of an anchor.
-LENGTH, ANCHOR = 100, 50
+LENGTH, ANCHOR = 100, 40
 WINDOW = LENGTH - ANCHOR + 1
 #: Bytes of a long text that are worked on at once.
 SEGMENT = 400_000
 #: Anchors, and bytes of cuttings, that a task holds before it sends them on.
-HELD_ANCHORS, HELD_BYTES = 1_000_000, 4_000_000
+HELD_ANCHORS, HELD_BYTES = 1_000_000, 8_000_000
 #: Anchors of a shard, as planned.
 SHARD = 500_000
 #: Copies from which on an anchor's cuttings are dealt one by one; how many such anchors
@@ -93,15 +94,15 @@ class Prefixes:
 
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How many bytes each two suffixes have in common, up to ``LENGTH``."""
-        found = np.zeros(a.size, np.int64)
+        found = np.full(a.size, LENGTH)
+        rest = np.flatnonzero(self.part(a, LENGTH) != self.part(b, LENGTH))
+        a, b, least = a[rest], b[rest], np.zeros(rest.size, np.int64)
         step = 1 << (LENGTH.bit_length() - 1)
-        while step:
-            longer = found + step
-            fits = np.flatnonzero(longer <= LENGTH)
-            size = longer[fits]
-            equal = fits[self.part(a[fits], size) == self.part(b[fits], size)]
-            found[equal] = longer[equal]
+        while step and rest.size:
+            longer = np.minimum(least + step, LENGTH - 1)
+            least = np.where(self.part(a, longer) == self.part(b, longer), longer, least)
             step >>= 1
+        found[rest] = least
         return found
 
 
@@ -141,7 +142,7 @@ def anchors(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
     count = np.diff(np.append(first, start.size))
-    return text[first], start[first], count, at[first], hashes[at[first]]
+    return text[first], start[first], count, at[first], hashes[at[first]] >> np.uint64(16)
 
 
 def _pack(*columns: np.ndarray) -> bytes:
@@ -156,25 +157,22 @@ def _unpack(blob: bytes, columns: int) -> list[np.ndarray]:
     return [np.ascontiguousarray(p.T).view("<i8").ravel().astype(np.int64) for p in planes]
 
 
-def _by_document(ord_: np.ndarray, tie: np.ndarray, *values: np.ndarray) -> pa.RecordBatch | None:
-    """(shard null, kind 0, ord, tie, blob): the values of each document, packed."""
+def _by_document(shards: int, ord_: np.ndarray, tie: np.ndarray, *values: np.ndarray) -> pa.RecordBatch | None:
+    """(shard, kind 0, blob): documents with their values, packed, by a hash of the document."""
     if not ord_.size:
         return None
-    by = np.lexsort((values[0], tie, ord_))
-    ord_, tie, values = ord_[by], tie[by], [v[by] for v in values]
-    first = np.flatnonzero(np.concatenate(([True], (ord_[1:] != ord_[:-1]) | (tie[1:] != tie[:-1]))))
-    stop = np.append(first[1:], ord_.size)
-    blobs = [np.stack([v[a:b] for v in values]).astype("<i4").tobytes() for a, b in zip(first.tolist(), stop.tolist(), strict=True)]
-    return _rows([None] * first.size, [0] * first.size, ord_[first], tie[first], blobs)
+    shard = (mix(ord_.astype(np.uint64) ^ mix(tie.astype(np.uint64))) % np.uint64(shards)).astype(np.int64)
+    by = np.lexsort((values[0], tie, ord_, shard))
+    cut, size = _runs_of(shard[by])
+    blobs = [_pack(*(v[by[a : a + n]] for v in (ord_, tie, *values))) for a, n in zip(cut.tolist(), size.tolist(), strict=True)]
+    return _rows(shard[by][cut].tolist(), [0] * cut.size, [None] * cut.size, blobs)
 
 
-def _rows(shard: list, kind: list, ord_, tie, blobs: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(shard, pa.int32()), pa.array(kind, pa.int32()), pa.array(ord_, pa.int64()), pa.array(tie, pa.int64()), pa.array(blobs, pa.binary())], ["shard", "kind", "ord", "tie", "blob"]
-    )
+def _rows(shard: list, kind: list, hash_, blobs: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), pa.array(kind, pa.int32()), pa.array(hash_, pa.int64()), pa.array(blobs, pa.binary())], ["shard", "kind", "hash", "blob"])
 
 
-_SCHEMA = "shard int, kind int, ord bigint, tie bigint, blob binary"
+_SCHEMA = "shard int, kind int, hash bigint, blob binary"
 
 
 def _runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +190,7 @@ def _listed(docs: DataFrame, shards: int) -> DataFrame:
         h, ord_, tie, at = h[by], ord_[by], tie[by], at[by]
         first, count = _runs_of(h)
         twice = np.repeat(count > 1, count)
-        known = _by_document(ord_[twice], tie[twice], at[twice])
+        known = _by_document(shards, ord_[twice], tie[twice], at[twice])
         if known is not None:
             yield known
         h, ord_, tie, at = h[first], ord_[first], tie[first], at[first]
@@ -204,7 +202,7 @@ def _listed(docs: DataFrame, shards: int) -> DataFrame:
             one = by[a : a + n]
             own = h[one].view(np.int64)
             blobs.append(_pack(np.diff(own, prepend=0), ord_[one], tie[one], at[one], count[one]))
-        yield _rows(shard[by][cut].tolist(), [1] * cut.size, [None] * cut.size, [None] * cut.size, blobs)
+        yield _rows(shard[by][cut].tolist(), [1] * cut.size, [None] * cut.size, blobs)
         give_back()
 
     def list_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,33 +224,46 @@ def _listed(docs: DataFrame, shards: int) -> DataFrame:
     return docs.select("ord", "tie", "text").mapInArrow(list_, _SCHEMA)
 
 
-def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch | None, list[bytes]]]:
-    """Rows of documents as they come, and the blobs of each shard; rows are in its order."""
+def _shards_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The blobs of each shard; rows are in order of shards."""
     now, blobs = None, []
     for batch in batches:
-        kind = batch.column("kind").to_numpy()
-        if (kind == 0).any():
-            yield batch.filter(pa.array(kind == 0)), []
-        own = batch.filter(pa.array(kind == 1))
-        for shard, blob in zip(own.column("shard").to_pylist(), own.column("blob").to_pylist(), strict=True):
+        for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("blob").to_pylist(), strict=True):
             if shard != now and blobs:
-                yield None, blobs
+                yield blobs
                 blobs = []
             now = shard
             blobs.append(blob)
     if blobs:
+        yield blobs
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch | None, list[bytes]]]:
+    """Rows of documents as they come, and the blobs of each shard of the others."""
+    passed: list[pa.RecordBatch] = []
+
+    def others() -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of_documents = pa.array(batch.column("kind").to_numpy() == 0)
+            passed.append(batch.filter(of_documents))
+            yield batch.filter(pa.array(batch.column("kind").to_numpy() == 1))
+
+    for blobs in _shards_of(others()):
+        while passed:
+            yield passed.pop(), []
         yield None, blobs
+    while passed:
+        yield passed.pop(), []
 
 
 def _dealt(rows: DataFrame, shards: int) -> DataFrame:
-    """Rows with their shard's others in one task, in its order; those of documents anywhere."""
-    to = F.coalesce("shard", F.pmod(F.xxhash64("ord", "tie"), F.lit(shards)).cast("int"))
-    return rows.withColumn("to", to).repartition(shards, "to").drop("to").sortWithinPartitions("shard")
+    """Rows with their shard's others in one task, in order of shards."""
+    return rows.repartition(shards, "shard").sortWithinPartitions("shard")
 
 
 def _repeated(listed: DataFrame, shards: int, hot: int) -> DataFrame:
     """Step 2: places of anchors that occur twice by document, and the hashes of those
-    with more than ``hot`` copies (kind 2, in ``ord``)."""
+    with more than ``hot`` copies (kind 2)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for passed, blobs in _by_shard(batches):
@@ -267,21 +278,32 @@ def _repeated(listed: DataFrame, shards: int, hot: int) -> DataFrame:
             h, ord_, tie, at, count = h[by], ord_[by], tie[by], at[by], count[by]
             first, size = _runs_of(h)
             fresh = np.repeat(size > 1, size) & (count == 1)
-            found = _by_document(ord_[fresh], tie[fresh], at[fresh])
+            found = _by_document(shards, ord_[fresh], tie[fresh], at[fresh])
             if found is not None:
                 yield found
             total = np.add.reduceat(count, first)
             many = h[first[total > hot]]
             if many.size:
-                yield _rows([None] * many.size, [2] * many.size, many, [0] * many.size, [b""] * many.size)
+                yield _rows([None] * many.size, [2] * many.size, many.view(np.int64), [b""] * many.size)
             give_back()
 
     return _dealt(listed, shards).mapInArrow(find, _SCHEMA)
 
 
-def _with_places(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """``docs`` beside the blobs of their rows; the texts are not sorted for it."""
-    places = rows.filter("kind = 0").groupBy("ord", "tie").agg(F.collect_list("blob").alias("blobs"))
+def _with_places(docs: DataFrame, rows: DataFrame, columns: int, shards: int, how: str) -> DataFrame:
+    """``docs`` beside ``blob``, the values of their rows; the texts are not sorted for it."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blobs in _shards_of(batches):
+            ord_, tie, *values = (np.concatenate(c) for c in zip(*(_unpack(b, 2 + columns) for b in blobs), strict=True))
+            by = np.lexsort((values[0], tie, ord_))
+            ord_, tie, values = ord_[by], tie[by], np.stack([v[by] for v in values]).astype("<i4")
+            first = np.flatnonzero(np.concatenate(([True], (ord_[1:] != ord_[:-1]) | (tie[1:] != tie[:-1]))))
+            stop = np.append(first[1:], ord_.size)
+            own = [values[:, a:b].tobytes() for a, b in zip(first.tolist(), stop.tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(ord_[first]), pa.array(tie[first]), pa.array(own, pa.binary())], ["ord", "tie", "blob"])
+
+    places = _dealt(rows.filter("kind = 0"), shards).mapInArrow(merge, "ord bigint, tie bigint, blob binary")
     return docs.join(places.hint("shuffle_hash"), ["ord", "tie"], how)
 
 
@@ -306,7 +328,7 @@ def _cut(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         lead = by[head]
         itself = (ord_[by] == ord_[lead]) & (tie[by] == tie[lead]) & (start[by] == start[lead])
         later = by[same & ~itself]
-        made = _by_document(ord_[later], tie[later], start[later], size[later] - LENGTH + 1)
+        made = _by_document(shards, ord_[later], tie[later], start[later], size[later] - LENGTH + 1)
         if made is not None:
             yield made
         kept = by[~same]
@@ -319,16 +341,16 @@ def _cut(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
             head = _pack(size[one], key[one].view(np.int64), back[one], ord_[one], tie[one], start[one])
             text = raw[ranges(begin[one], size[one])].tobytes()
             blobs.append(len(head).to_bytes(4, "little") + head + len(text).to_bytes(4, "little") + pa.compress(text, "zstd", asbytes=True))
-        yield _rows(shard[order][cut].tolist(), [1] * cut.size, [None] * cut.size, [None] * cut.size, blobs)
+        yield _rows(shard[order][cut].tolist(), [1] * cut.size, [None] * cut.size, blobs)
         give_back()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             ord_, tie = (batch.column(c).to_numpy() for c in ("ord", "tie"))
-            blobs = batch.column("blobs").to_pylist()
+            blobs = batch.column("blob").to_pylist()
             for begin, last, raw, offsets in text_chunks(batch, CHUNK_BYTES):
-                places = [np.unique(np.frombuffer(b"".join(b), "<i4").astype(np.int64)) for b in blobs[begin:last]]
+                places = [np.unique(np.frombuffer(b, "<i4").astype(np.int64)) for b in blobs[begin:last]]
                 listed = np.concatenate([offsets[k] + p for k, p in enumerate(places)])  # places in the chunk, ascending
                 for part, cuts, text, shift in _segments(raw, offsets):
                     of, start, count, at, h = anchors(part, cuts)
@@ -347,7 +369,7 @@ def _cut(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         if size:
             yield from flush(held)
 
-    return docs.select("ord", "tie", "text", "blobs").mapInArrow(cut, _SCHEMA)
+    return docs.select("ord", "tie", "text", "blob").mapInArrow(cut, _SCHEMA)
 
 
 def _singles(raw, chosen, size, key, back, ord_, tie, start, begin):
@@ -356,7 +378,7 @@ def _singles(raw, chosen, size, key, back, ord_, tie, start, begin):
     each = size[one] - LENGTH + 1
     of = np.repeat(one, each)
     shift = ranges(np.zeros(one.size, np.int64), each)
-    own = mix(Prefixes(raw).part(begin[of] + shift, LENGTH))
+    own = mix(Prefixes(raw).part(begin[of] + shift, LENGTH)) | np.uint64(1 << 63)  # no anchor's 48 bits
     made = [np.full(of.size, LENGTH), own, np.zeros(of.size, np.int64), ord_[of], tie[of], start[of] + shift, begin[of] + shift]
     return [np.concatenate([old[rest], new]) for old, new in zip((size, key, back, ord_, tie, start, begin), made, strict=True)]
 
@@ -495,7 +517,7 @@ def _sorted(cuttings: DataFrame, shards: int) -> DataFrame:
                 run[1:] = (place[1:] > place[:-1] + 1) | (ord_[1:] != ord_[:-1]) | (tie[1:] != tie[:-1])
                 head = np.flatnonzero(run)
                 stop = np.append(head[1:], place.size) - 1
-                made = _by_document(ord_[head], tie[head], place[head], place[stop] - place[head] + 1) if head.size else None
+                made = _by_document(shards, ord_[head], tie[head], place[head], place[stop] - place[head] + 1) if head.size else None
                 if made is not None:
                     yield made
             give_back()
@@ -503,12 +525,11 @@ def _sorted(cuttings: DataFrame, shards: int) -> DataFrame:
     return _dealt(cuttings, shards).mapInArrow(sort, _SCHEMA)
 
 
-def _spans(blobs: list[bytes] | None) -> tuple[np.ndarray, np.ndarray]:
+def _spans(blob: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     """The maximal removed runs of a text, from its stretches of repeats."""
-    if not blobs:
+    if not blob:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    parts = [np.frombuffer(b, "<i4").reshape(2, -1) for b in blobs]
-    start, count = np.concatenate(parts, axis=1).astype(np.int64)
+    start, count = np.frombuffer(blob, "<i4").reshape(2, -1).astype(np.int64)
     by = np.argsort(start, kind="stable")
     start, end = start[by], np.maximum.accumulate((start + count + LENGTH - 1)[by])
     head = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
@@ -524,7 +545,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def find_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, ...), without nulls in text, with ord, tie and blobs: the
+    """``docs`` (doc_id, text, ...), without nulls in text, with ord, tie and blob: the
     stretches of starts of repeated strings, null without any. See ``removed``."""
     keyed = _keyed(docs.withColumn("text", F.coalesce("text", F.lit(""))))
     n_bytes = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -532,9 +553,9 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     shards = int(max(1, -(-total // SHARD)))
     long_ = keyed.select("ord", "tie", "text").filter(F.octet_length("text") >= LENGTH)
     places = stored(_repeated(_listed(long_, shards), shards, max(HOT, total // MOST_HOT)))
-    hot = np.sort(places.filter("kind = 2").select("ord").toArrow().column("ord").to_numpy().view(np.uint64))
-    cuttings = _cut(_with_places(long_, places, "inner"), shards, hot)
-    return _with_places(keyed, _sorted(cuttings, shards), "left")
+    hot = np.sort(places.filter("kind = 2").select("hash").toArrow().column("hash").to_numpy().view(np.uint64))
+    cuttings = _cut(_with_places(long_, places, 1, shards, "inner"), shards, hot)
+    return _with_places(keyed, _sorted(cuttings, shards), 2, shards, "left")
 
 
 def removed(found: DataFrame, keep: list[str], text: bool = False) -> DataFrame:
@@ -543,7 +564,7 @@ def removed(found: DataFrame, keep: list[str], text: bool = False) -> DataFrame:
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = batch.column("blobs").to_pylist()
+            blobs = batch.column("blob").to_pylist()
             for first, last, raw, offsets in text_chunks(batch, CHUNK_BYTES):
                 whole = raw.tobytes()
                 made = []
@@ -555,7 +576,7 @@ def removed(found: DataFrame, keep: list[str], text: bool = False) -> DataFrame:
                 columns = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]
                 yield output(batch, keep, first, last, columns, ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    made = found.select(*keep, "text", "blobs").mapInArrow(remove, schema_of(found, keep) + "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    made = found.select(*keep, "text", "blob").mapInArrow(remove, schema_of(found, keep) + "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
     return made if text else made.drop("kept")
 
 

@@ -34,8 +34,16 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+#: Spark's defaults for an Arrow batch, and what is set in their place: texts are long, and
+#: a batch is held by the JVM and by the Python worker at once. Other settings stay.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8000000b")}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Some columns of a parquet table of ``sf_dir``."""
+    for key, (default, own) in BATCHES.items():
+        if spark.conf.get(key, None) == default:
+            spark.conf.set(key, own)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
@@ -224,10 +232,11 @@ class HashArray:
     """
 
     def __init__(self, keys: np.ndarray):
-        self.order = np.argsort(keys, kind="stable")
+        self.order = np.argsort(keys, kind="stable").astype(np.int32)
         self.keys = keys[self.order]
-        self.bits = max(1, min(22, int(np.ceil(np.log2(max(2, keys.size))))))
-        self.begin = np.searchsorted(self.keys >> np.uint64(64 - self.bits), np.arange(2**self.bits + 1, dtype=np.uint64)).astype(np.int64)
+        # A table of where each range of keys begins, with about two keys a range.
+        self.bits = max(1, min(21, int(np.ceil(np.log2(max(2, keys.size)))) - 1))
+        self.begin = np.searchsorted(self.keys >> np.uint64(64 - self.bits), np.arange(2**self.bits + 1, dtype=np.uint64)).astype(np.int32)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         found = np.full(keys.size, -1, np.int64)

@@ -20,21 +20,32 @@ from ledgerline.llm.common import materialise, read
 from ledgerline.llm.ngram import count_ngrams, estimate, learn_characters, score_texts
 
 UNDETERMINED = "und"
+#: Texts from which on a language leaves some out of its counts, for calibration.
+RARE = 50
+#: Languages whose rates are broadcast; keys over which a language is spread beyond that.
+BROADCAST_RATES, SALTS = 100_000, 64
 
 
 def sample_by_language(docs: DataFrame, per_language: int) -> DataFrame:
     """About ``per_language`` texts of each language at most, chosen by the hash of
-    doc_id, as (g, text, part); part is 0 to 4."""
+    doc_id, as (g, text, part); part 0 is for calibration, the others for counts. Texts
+    of a language with fewer than ``RARE`` are all counted.
+
+    Only the sample's texts move: rates are sent to the tasks, up to ``BROADCAST_RATES``
+    of them; with more languages the ids are chosen by a join without the texts first.
+    """
     labelled = docs.filter("lang is not null and text is not null")
-    sizes = labelled.groupBy("lang").count()
-    rate = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count"))
+    sizes = materialise(labelled.groupBy("lang").count())
+    rates = sizes.select("lang", F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("count")).alias("rate"), (F.col("count") < RARE).alias("rare"))
     share = F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    return (
-        labelled.select("doc_id", "lang", "text")
-        .join(sizes.select("lang", rate.alias("rate")), "lang")
-        .filter(share < F.col("rate"))
-        .select(F.col("lang").alias("g"), "text", F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(5)).alias("part"))
-    )
+    part = F.when(F.col("rare"), 1).otherwise(F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(5)))
+    if sizes.count() <= BROADCAST_RATES:
+        return labelled.join(F.broadcast(rates), "lang").filter(share < F.col("rate")).select(F.col("lang").alias("g"), "text", part.alias("part"))
+    # The rows of a language are spread over several keys, each of which has its rate.
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
+    salted = rates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    chosen = labelled.select("doc_id", "lang", salt.alias("salt")).join(salted, ["lang", "salt"]).filter(share < F.col("rate")).select("doc_id", "lang", "rare").distinct()
+    return labelled.join(chosen, ["doc_id", "lang"]).select(F.col("lang").alias("g"), "text", part.alias("part"))
 
 
 def _scored(df: DataFrame, units, model, keep: list[str]) -> DataFrame:

@@ -30,10 +30,10 @@ HELD = 400_000
 class Characters:
     """Symbols are lower-cased characters, the most frequent ones of a corpus."""
 
-    bits = 8
+    bits = 12
 
     def __init__(self, points: list[int]):
-        self.table = np.full(max([256, *(p + 2 for p in points)]), UNKNOWN, np.uint8)
+        self.table = np.full(max([256, *(p + 2 for p in points)]), UNKNOWN, np.uint16)
         for k, p in enumerate(sorted(points)[: 2**self.bits - 2]):
             self.table[p] = k + 2
         self.size = int(self.table.max())
@@ -123,7 +123,7 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return distinct, np.add.reduceat(c[by], begin) if distinct.size else c
 
 
-def learn_characters(df: DataFrame, most: int = 254) -> Characters:
+def learn_characters(df: DataFrame, most: int = 4_094) -> Characters:
     """The ``most`` most frequent lower-cased characters of ``df``'s text, all rows
     counted. At most that many rows come to the driver."""
 
@@ -137,7 +137,7 @@ def learn_characters(df: DataFrame, most: int = 254) -> Characters:
         yield pa.RecordBatch.from_arrays([pa.array(points), pa.array(total[points])], ["point", "c"])
 
     counts = df.select("text").mapInArrow(count, "point bigint, c bigint").groupBy("point").agg(F.sum("c").alias("c"))
-    return Characters([r[0] for r in counts.orderBy(F.desc("c"), "point").limit(min(most, 254)).collect()])
+    return Characters([r[0] for r in counts.orderBy(F.desc("c"), "point").limit(min(most, 2**Characters.bits - 2)).collect()])
 
 
 @dataclass
@@ -171,24 +171,19 @@ class Model:
 
     def score(self, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Sum of log probabilities of each text, a column a group. Each distinct
-        n-gram of a text is looked up once."""
+        n-gram of the texts is looked up once."""
         out = np.zeros((sizes.size, len(self.groups)))
         if not symbols.size:
             return out
-        code = codes(symbols, sizes, self.order, self.bits)
-        width = self.bits * self.order
-        for a in range(0, sizes.size, step := 2 ** (62 - width)):
-            part = sizes[a : a + step]
-            lo = int(sizes[:a].sum())
-            key = (np.repeat(np.arange(part.size), part) << width) | code[lo : lo + int(part.sum())]
-            key.sort()
-            distinct, begin = runs(key)
-            if not distinct.size:
-                continue
-            weight = np.diff(np.append(begin, key.size))
-            each = self.log_p(distinct & ((1 << width) - 1)) * weight[:, None]
-            text, where = runs(distinct >> width)
-            out[a + text] = np.add.reduceat(each.astype(np.float64), where, axis=0)
+        code, at = np.unique(codes(symbols, sizes, self.order, self.bits), return_inverse=True)
+        each = self.log_p(code).astype(np.float64)
+        full = np.flatnonzero(sizes)
+        begin = (np.cumsum(sizes) - sizes)[full]
+        # In runs of texts, as a row of losses for each symbol takes much memory.
+        for a in range(0, full.size, 200):
+            own, first = full[a : a + 200], begin[a : a + 200]
+            last = first[-1] + sizes[own[-1]]
+            out[own] = np.add.reduceat(each[at[first[0] : last]], first - first[0], axis=0)
         return out
 
 
@@ -199,9 +194,9 @@ def _key(code: np.ndarray, order: int) -> np.ndarray:
 def estimate(counts: DataFrame, order: int, units, most: int = 2_000_000) -> Model:
     """The interpolated modified Kneser-Ney model of highest-order counts (g, code, c).
 
-    Lower orders count distinct left neighbours. If there are more than ``most``
-    n-grams, the rarest of the highest order are left out of the finished tables
-    (their contexts still back off); the estimates use all counts.
+    Lower orders count distinct left neighbours. If a group has more n-grams than its
+    share of ``most``, its rarest of the highest order are left out of the finished
+    tables (their contexts still back off); the estimates use all counts.
     """
     bits = units.bits
     levels = {order: materialise(counts)}
@@ -216,14 +211,13 @@ def estimate(counts: DataFrame, order: int, units, most: int = 2_000_000) -> Mod
     groups = sorted({g for g, _ in stats})
     if not groups:
         return Model([], order, bits, [(HashArray(np.zeros(0, np.uint64)), np.zeros((0, 0), np.float32))] * order, [(HashArray(np.zeros(0, np.uint64)), np.zeros((0, 0), np.float32))] * order, 0.0)
-    total, least = sum(r["n"] for r in stats.values()), 1
-    if total > most:
-        room = max(0, most - sum(r["n"] for (_, k), r in stats.items() if k < order))
-        least = _least_count(levels[order], room)
+    share = most // len(groups)
+    room = {g: max(0, share - sum(r["n"] for (h, k), r in stats.items() if h == g and k < order)) for g in groups}
+    least = _least_counts(levels[order], {g: n for g, n in room.items() if (g, order) in stats and stats[g, order]["n"] > n})
     spark = counts.sparkSession
     lower, grams, backs = None, [], []
     for k in range(1, order + 1):
-        cuts = spark.createDataFrame([(g, *_discounts(stats[g, k])) for g in groups], "g string, d1 double, d2 double, d3 double")
+        cuts = spark.createDataFrame([(g, *_discounts(stats[g, k]), least.get(g, 1)) for g in groups], "g string, d1 double, d2 double, d3 double, least bigint")
         c = F.col("c")
         level = levels[k].join(F.broadcast(cuts), "g").withColumn("d", F.least(F.when(c == 1, F.col("d1")).when(c == 2, F.col("d2")).otherwise(F.col("d3")), c)).withColumn("ctx", F.shiftright("code", bits))
         ctx = level.groupBy("g", "ctx").agg((F.sum("d") / F.sum("c")).alias("back"), F.sum("c").alias("total"))
@@ -236,21 +230,25 @@ def estimate(counts: DataFrame, order: int, units, most: int = 2_000_000) -> Mod
             p = (c - F.col("d")) / F.col("total") + F.col("back") * F.col("p_low")
             table = both.withColumn("low", F.col("code").bitwiseAND(F.lit((1 << bits * (k - 1)) - 1))).join(low, ["g", "low"]).select("g", "code", "c", p.alias("p"))
         lower = materialise(table) if k < order else table
-        kept = lower.filter(F.col("c") >= least) if k == order else lower
+        kept = lower.join(F.broadcast(cuts.select("g", "least")), "g").filter(F.col("c") >= F.col("least")) if k == order else lower
         grams.append(kept.select("g", "code", F.log("p").cast("float").alias("v")).toArrow())
         backs.append(ctx.select("g", F.col("ctx").alias("code"), F.log("back").cast("float").alias("v")).toArrow())
     return _assemble(groups, order, bits, grams, backs, -float(np.log(units.size)))
 
 
-def _least_count(level: DataFrame, room: int) -> int:
-    """The smallest count whose n-grams, with all more frequent ones, fit into ``room``."""
-    rows = level.groupBy(F.least("c", F.lit(1000)).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
-    least = 1001
+def _least_counts(level: DataFrame, room: dict[str, int]) -> dict[str, int]:
+    """For each group, the smallest count whose n-grams, with all more frequent ones, fit
+    into its ``room``."""
+    if not room:
+        return {}
+    rows = level.filter(F.col("g").isin(list(room))).groupBy("g", F.least("c", F.lit(1000)).alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
+    least, room, full = dict.fromkeys(room, 1001), dict(room), set()
     for r in rows:
-        room -= r["n"]
-        if room < 0:
-            break
-        least = r["c"]
+        room[r["g"]] -= r["n"]
+        if room[r["g"]] < 0:
+            full.add(r["g"])
+        if r["g"] not in full:
+            least[r["g"]] = r["c"]
     return least
 
 

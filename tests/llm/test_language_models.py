@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.language_id import identify, op5_language_id
 from ledgerline.llm.lm_scoring import score, word_counts
 from ledgerline.llm.ngram import Characters, Vocabulary, codes, count_ngrams, estimate, learn_characters
-from ledgerline.llm.quality_classifier import fit, keep_good
+from ledgerline.llm.quality_classifier import SLACK_HIGH, SLACK_LOW, fit, keep_good
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -73,7 +73,7 @@ def test_probabilities_add_up_to_one(spark):
     model = estimate(count_ngrams(df, units, 3), 3, units)
     for context in ("th", "zz", "t"):
         raw = [int(units.table[ord(c)]) for c in context]
-        grams = np.array([(([0, 0] + raw)[-2] << 16) | (raw[-1] << 8) | s for s in range(1, units.size + 1)])
+        grams = np.array([(([0, 0] + raw)[-2] << 2 * units.bits) | (raw[-1] << units.bits) | s for s in range(1, units.size + 1)])
         assert np.exp(model.log_p(grams)).sum() == pytest.approx(1, abs=1e-4)
 
 
@@ -111,6 +111,91 @@ def test_language_of_odd_rows(spark):
     assert identify(train.limit(0), train, order=2).count() == 0
 
 
+def test_rare_and_many_lettered_languages(spark):
+    """A language of three texts is learned, and one with over a thousand letters of its own."""
+    rng = random.Random(5)
+    words = {"en": ["the", "cat", "and", "dog"], "xx": ["wurra", "kilpo", "zzim"], "zh": ["".join(chr(0x4E00 + rng.randrange(1500)) for _ in range(3)) for _ in range(500)]}
+    text = lambda g, n=12: " ".join(rng.choices(words[g], k=n))
+    train = [(i, text("en"), "en") for i in range(300)] + [(1000 + i, text("zh", 40), "zh") for i in range(200)] + [(2000 + i, text("xx"), "xx") for i in range(3)]
+    train = spark.createDataFrame(train, "doc_id bigint, text string, lang string")
+    probes = [(i, text(g, 6), g) for i, g in enumerate(["en", "zh", "xx"] * 5)]
+    got = {r.doc_id: r.lang_pred for r in identify(spark.createDataFrame([p[:2] for p in probes], "doc_id bigint, text string"), train).collect()}
+    assert got == {i: g for i, _, g in probes}
+    units = learn_characters(train)
+    assert units.size > 900
+
+
+def test_languages_are_sampled_alike_with_many_rates(spark, monkeypatch):
+    from ledgerline.llm import language_id
+
+    rows = [(i, f"text {i}", f"l{i % 7 if i % 3 else 0}") for i in range(900)] + [(None, "x", "l1"), (5, None, "l2"), (6, "y", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    take = lambda: sorted(map(tuple, language_id.sample_by_language(docs, 60).collect()), key=str)
+    one = take()
+    monkeypatch.setattr(language_id, "BROADCAST_RATES", 1)
+    assert [r for r in take() if r[1] != "x"] == [r for r in one if r[1] != "x"]
+    assert 200 < len(one) < 500 and {r[0] for r in one} == {f"l{k}" for k in range(7)}
+
+
+def test_each_group_has_its_own_share_of_the_ngrams(spark):
+    rng = random.Random(2)
+    rows = [("big", "".join(rng.choices("abcdefghijklmnop ", k=20_000))), ("small", "one two three one two four")]
+    df = spark.createDataFrame(rows, "g string, text string")
+    units = learn_characters(df)
+    whole, cut = (estimate(count_ngrams(df, units, 4), 4, units, most) for most in (10**6, 3_000))
+    assert cut.grams[3][0].keys.size < whole.grams[3][0].keys.size
+    raw = np.frombuffer(b"one two four", np.uint8)
+    probe = units.symbols(raw, np.array([0, raw.size]))
+    at = whole.groups.index("small")
+    assert cut.score(*probe)[0, at] == pytest.approx(whole.score(*probe)[0, at], rel=1e-5)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_unseen_trusted_text_is_kept_like_learned_text(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    labels = spark.read.parquet(f"/root/testdata/{sf}/labels.parquet").filter("quality = 1")
+    half = F.pmod(F.xxhash64(F.lit(99), "doc_id"), F.lit(2))
+    got = fit(docs, labels.filter(half == 0)).judge(docs, ["doc_id"]).join(labels, "doc_id").groupBy(half.alias("half")).agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    share = {r.half: r.kept for r in got}
+    assert abs(share[0] - share[1]) <= 0.02 and min(share.values()) > 0.97, share
+
+
+def test_quality_limits_equal_their_definition(spark):
+    """Losses, limits and verdicts from the definition, with the model's own scores."""
+    rng = random.Random(21)
+    words = ["stone", "river", "green", "walk", "the", "of", "and"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(3, 90))), rng.choice(["en", "de", "xx"]) if i % 9 else "rare") for i in range(900)]
+    rows += [(1000 + i, "#%!" * rng.randint(1, 20), "en") for i in range(20)] + [(2000, "", "en"), (2001, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = fit(docs, docs.filter("doc_id < 700"), order=3)
+    held = {r.doc_id for r in model.held.collect()}
+    assert 90 < len(held) < 190
+    scored = {r.doc_id: (r.loss, r.n_symbols, r.lang) for r in model.score(docs, ["doc_id", "lang"]).collect()}
+    band = lambda n: min(8, int(math.floor(math.log2(n / 32 + 1))))
+
+    def limits(losses, support):
+        bins = sorted(math.floor(x * 1000) for x in losses)
+        if len(bins) < support:
+            return None
+        at = lambda q, strict: next(b for k, b in enumerate(bins) if (k + 1 > q * len(bins) if strict else k + 1 >= q * len(bins)))
+        low, high, median = at(0.001, True) / 1000, (at(0.998, False) + 1) / 1000, at(0.5, False) / 1000
+        return low - SLACK_LOW * (median - low), high + SLACK_HIGH * (high - median)
+
+    known = [scored[i] for i in held]
+    every = limits([x[0] for x in known], 1)
+    for r in model.judge(docs, ["doc_id"]).collect():
+        loss, n, lang = scored[r.doc_id]
+        if loss is None:
+            assert not r.kept
+            continue
+        own = limits([x[0] for x in known if x[2] == lang and band(x[1]) == band(n)], 200)
+        of_lang, of_band = limits([x[0] for x in known if x[2] == lang], 20), limits([x[0] for x in known if band(x[1]) == band(n)], 200)
+        wide = [x for x in (of_lang, of_band) if x]
+        want = own or ((min(x[0] for x in wide), max(x[1] for x in wide)) if wide else every)
+        assert math.log(r.least) == pytest.approx(want[0], abs=1e-6) and math.log(r.most) == pytest.approx(want[1], abs=1e-6)
+        assert r.kept == (want[0] <= loss <= want[1])
+
+
 def test_quality_keeps_trusted_text_and_drops_junk(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

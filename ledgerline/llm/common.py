@@ -225,6 +225,18 @@ def schema_of(df: DataFrame, keep: list[str]) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*keep).schema)
 
 
+def pack_columns(*columns: np.ndarray) -> bytes:
+    """Whole numbers, column by column and byte by byte of them, compressed."""
+    planes = b"".join(np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
+    return len(columns[0]).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def unpack_columns(blob: bytes, columns: int) -> list[np.ndarray]:
+    n = int.from_bytes(blob[:4], "little")
+    planes = np.frombuffer(pa.decompress(blob[4:], n * 8 * columns, "zstd"), np.uint8).reshape(columns, 8, n)
+    return [np.ascontiguousarray(p.T).view("<i8").ravel().astype(np.int64) for p in planes]
+
+
 class HashArray:
     """Sorted 64-bit keys with a row number each; found by their top bits.
 

@@ -11,16 +11,15 @@ stay; the query and the pipeline compare every line with a word (``LEAST_WORDS``
 2. Lines with equal sets are grouped; later ones go. A task sends each set once.
 3. Each set's rarest words, as many as a match needs to share one, are its prefix.
    Sets so small that only an equal one can match (up to three words at 0.8) have none.
-   Sets that share a prefix word meet in a shard of words; length, the positions of
-   the word and a bitmap of the set bound their overlap and rule most pairs out.
-4. What is left is verified with the words themselves.
+   A set is sent, once by a task, to the shards of its prefix words, with all its words.
+4. Sets that share a prefix word meet in its shard; length, the positions of the word
+   and a bitmap of the set bound their overlap and rule most pairs out. What is left is
+   verified there and then, for each line the most alike by bitmap first, until it has a
+   match; so a family of near copies doesn't verify all its pairs, and no pair leaves
+   the shard but a line and its match.
 
 A shard holds a bounded number of entries; a fuller one is split into blocks, and each
-pair of blocks meets once. A later line is first checked against the one candidate most
-like it, by bitmap; if that is no match, against the ``FIRST`` most alike for each shared
-word, then against the ``LISTED`` most alike; and if it had more than these and still has
-no match, its prefix is looked up among all lines once more and all candidates are
-listed. So a family of near copies doesn't list all its pairs, and no match is lost.
+pair of blocks meets once. Words are compared by 40 bits of their hash.
 
 Defined results: null and empty texts have no lines. A row without doc_id is left
 alone. doc_id stands for a text: rows that repeat it have no order among each other.
@@ -30,13 +29,14 @@ All columns are passed on, n_chars with the new length.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BREAKS, LOWER, Words, materialise, mix, ranges, read, stored, text_chunks
+from ledgerline.llm.common import BREAKS, LOWER, Words, materialise, mix, pack_columns, ranges, read, stored, text_chunks, unpack_columns
 from ledgerline.llm.ngram import runs
 
 #: Distinct words of a line that the query and the pipeline compare: any line but those without a word.
@@ -44,24 +44,13 @@ LEAST_WORDS = 1
 COUNTERS = 2**20
 #: Entries of a shard of prefix words that a task holds at once, and the aim for a shard.
 SHARD, AIM = 400_000, 100_000
-#: Candidates of a line that are verified after the best, and that are listed, for each prefix word.
-FIRST, LISTED = 2, 32
-#: Lines whose candidates are listed in full in one pass; more take several passes.
-PASS = 100_000
-#: Up to so many ids are broadcast (8 bytes each); beyond that all texts are looked at.
-BROADCAST_IDS = 1_000_000
-#: Bits of the filter that tells which lines are to be verified.
-FILTER_BITS = 2**26
-#: Half a hash of the word and of the set are enough to let lines meet; with its bitmap
-#: and size, a set's half hash also tells equal sets.
-ENTRY = np.dtype([("word", "<u4"), ("set", "<u4"), ("bitmap", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<u4"), ("pos", "<u4")])
+#: Pairs that are looked at together; places (of a line's candidates) up to which they are verified together.
+STEP, ROUNDS = 250_000, (1, 4, 2**40)
+#: Entries that a task holds before it sends them on.
+HELD = 200_000
 #: A set that a task has sent, with the first line it had by then; how many it remembers.
 SEEN = np.dtype([("set", "<u8"), ("doc", "<i8"), ("line", "<i4")])
 MOST_SEEN = 1_000_000
-KEYS = ["doc", "line", "other_doc", "other_line"]
-PAIR = "doc bigint, line int, other_doc bigint, other_line int, apart int, place int, more boolean"
-
-
 class Lines:
     """Distinct words of the lines of some texts: ``word`` with the ``line`` of each, in
     order of line and hash; ``text``, ``number``, ``n`` and ``begin`` of each line."""
@@ -76,7 +65,7 @@ class Lines:
         first = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(number) != 0)))) if text.size else np.zeros(0, np.int64)
         line = np.repeat(np.arange(first.size), np.diff(np.append(first, text.size)))
         hashes = words.hashes(LOWER)
-        order = np.argsort(line.astype(np.uint64) << np.uint64(40) | hashes >> np.uint64(24))
+        order = _by_line(line, hashes >> np.uint64(24), 40)
         hashes, line = hashes[order], line[order]
         new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))) if line.size else np.zeros(0, bool)
         hashes, line = hashes[new], line[new]
@@ -91,6 +80,13 @@ class Lines:
         return mix(np.add.reduceat(mix(self.word + np.uint64(7)), self.begin)) if self.n.size else np.zeros(0, np.uint64)
 
 
+def _by_line(line: np.ndarray, value: np.ndarray, bits: int) -> np.ndarray:
+    """The order by line, then by value of so many bits: one sort if both fit into a number."""
+    if not line.size or int(line[-1]) < 2 ** (64 - bits):
+        return np.argsort(line.astype(np.uint64) << np.uint64(bits) | value)
+    return np.lexsort((value, line))
+
+
 def _column(batch: pa.RecordBatch, name: str, first: int, last: int) -> np.ndarray:
     return batch.column(name).slice(first, last - first).to_numpy(zero_copy_only=False)
 
@@ -142,16 +138,6 @@ def _needed(n: np.ndarray, t: float) -> np.ndarray:
     return np.ceil(t * n - 1e-9).astype(np.int64)
 
 
-def _packed(rows: np.ndarray) -> bytes:
-    """Entries byte by byte, as most of their bytes are zeros that compress well then."""
-    return np.ascontiguousarray(rows).view(np.uint8).reshape(rows.size, ENTRY.itemsize).T.tobytes()
-
-
-def _unpacked(blob: pa.BinaryScalar) -> np.ndarray:
-    planes = np.frombuffer(blob.as_buffer(), np.uint8).reshape(ENTRY.itemsize, -1)
-    return np.ascontiguousarray(planes.T).view(ENTRY).ravel()
-
-
 def _earlier(sets: np.ndarray, doc: np.ndarray, number: np.ndarray, heads: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Those of ``heads``, in order of set, whose sets are not in ``seen`` or only with a
     later line; ``seen`` with them."""
@@ -169,21 +155,78 @@ def _earlier(sets: np.ndarray, doc: np.ndarray, number: np.ndarray, heads: np.nd
     return heads[first], seen
 
 
-def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_words: int, only: np.ndarray | None = None, words: np.ndarray | None = None) -> DataFrame:
-    """(shard, entries): prefix words of all sets, packed, by the shard of the word; only
-    those of the lines with the keys ``only``, or of the half hashes ``words``, if given."""
-    sent = docs.sparkSession.sparkContext.broadcast((rarity, only, words))
+@dataclass
+class Sets:
+    """Some sets, each with its first line, size, bitmap and words (40 bits, ascending),
+    and entries: a prefix word (32 bits), the set that has it, and its place there."""
+
+    set: np.ndarray
+    doc: np.ndarray
+    line: np.ndarray
+    n: np.ndarray
+    bitmap: np.ndarray
+    words: np.ndarray
+    word: np.ndarray
+    owner: np.ndarray
+    pos: np.ndarray
+
+    def chosen(self, sets: np.ndarray, entries: np.ndarray | None = None) -> Sets:
+        """The sets at some places, ascending, with their entries, or some of these."""
+        place = np.full(self.n.size, -1)
+        place[sets] = np.arange(sets.size)
+        begin = np.cumsum(self.n) - self.n
+        entries = np.flatnonzero(place[self.owner] >= 0) if entries is None else entries
+        whole = (c[sets] for c in (self.set, self.doc, self.line, self.n, self.bitmap))
+        return Sets(*whole, self.words[ranges(begin[sets], self.n[sets])], self.word[entries], place[self.owner[entries]], self.pos[entries])
+
+    def packed(self) -> bytes:
+        parts = [pack_columns(self.set, self.doc, self.line, self.n, self.bitmap), pack_columns(self.words), pack_columns(self.word, self.owner, self.pos)]
+        return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+    @staticmethod
+    def joined(blobs: list[bytes]) -> Sets:
+        """The distinct sets of some blobs, each with its earliest line."""
+        columns: list[list[np.ndarray]] = []
+        many = 0
+        for blob in blobs:
+            parts, at = [], 0
+            for width in (5, 1, 3):
+                size = int.from_bytes(blob[at : at + 4], "little")
+                parts += unpack_columns(blob[at + 4 : at + 4 + size], width)
+                at += 4 + size
+            parts[7] = parts[7] + many
+            many += parts[0].size
+            columns.append(parts)
+        every = Sets(*(np.concatenate(c) for c in zip(*columns, strict=True)))
+        order = np.lexsort((every.line, every.doc, every.set))
+        first = np.sort(order[np.concatenate(([True], np.diff(every.set[order]) != 0))])
+        return every.chosen(first)
+
+    def __len__(self) -> int:
+        return self.word.size
+
+
+def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_words: int) -> DataFrame:
+    """(shard, size, sets): all sets, packed, in the shards of their prefix words."""
+    sent = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (rarity, only, words), held, size, seen = sent.value, [], 0, np.zeros(0, SEEN)
+        rarity, held, size, seen = sent.value, [], 0, np.zeros(0, SEEN)
 
         def flush() -> pa.RecordBatch:
-            shard, rows = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(shard)
-            rows, shard = rows[order], shard[order]
-            which, begin = runs(shard)
-            blobs = [_packed(rows[a:b]) for a, b in zip(begin, np.append(begin[1:], rows.size), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(which), pa.array(blobs, pa.binary())], ["shard", "entries"])
+            many = np.cumsum([0, *(h.n.size for h in held)])
+            parts = [np.concatenate([getattr(h, f.name) for h in held]) for f in fields(Sets)]
+            parts[7] = np.concatenate([h.owner + a for h, a in zip(held, many, strict=False)])
+            every = Sets(*parts)
+            shard = every.word % shards
+            order = np.argsort(shard, kind="stable")
+            which, begin = runs(shard[order])
+            blobs, sizes = [], []
+            for a, b in zip(begin, np.append(begin[1:], order.size), strict=True):
+                one = every.chosen(np.unique(every.owner[order[a:b]]), order[a:b])
+                blobs.append(one.packed())
+                sizes.append(len(one))
+            return pa.RecordBatch.from_arrays([pa.array(which), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())], ["shard", "size", "sets"])
 
         for batch in batches:
             for first, last, raw, offsets in text_chunks(batch):
@@ -191,249 +234,175 @@ def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_w
                 if not lines.n.size:
                     continue
                 sets, doc = lines.sets(), _column(batch, "doc_id", first, last)[lines.text]
-                if only is None:
-                    # A set's first line in this task so far speaks for the others. Rows come in any
-                    # order, so a set is sent again when an earlier line of it turns up.
-                    order = np.lexsort((lines.number, doc, sets))
-                    heads = order[np.concatenate(([True], np.diff(sets[order]) != 0))]
-                    heads, seen = _earlier(sets, doc, lines.number, heads, seen)
-                else:
-                    heads = np.flatnonzero(np.isin(line_key(doc, lines.number), only))
-                chosen = np.zeros(lines.n.size, bool)
+                # A set's first line in this task so far speaks for the others. Rows come in any
+                # order, so a set is sent again when an earlier line of it turns up.
+                order = np.lexsort((lines.number, doc, sets))
+                heads = order[np.concatenate(([True], np.diff(sets[order]) != 0))]
+                heads, seen = _earlier(sets, doc, lines.number, heads, seen)
                 # A set of n words can match another if it can match one of n + 1 that has them all.
-                chosen[heads] = lines.n[heads] >= t * (lines.n[heads] + 1) - 1e-9
+                heads = np.sort(heads[lines.n[heads] >= t * (lines.n[heads] + 1) - 1e-9])
+                if not heads.size:
+                    continue
                 bit = np.uint64(1) << (mix(lines.word) >> np.uint64(58))
                 bitmap = np.bitwise_xor.reduceat(bit, lines.begin)
                 # Words of each line by rarity, then by hash.
                 rank = rarity[(lines.word % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64)
-                rare = np.argsort(lines.line.astype(np.uint64) << np.uint64(44) | rank << np.uint64(32) | lines.word >> np.uint64(32))
+                rare = _by_line(lines.line, rank << np.uint64(32) | lines.word >> np.uint64(32), 44)
                 pos = np.arange(rare.size) - np.repeat(lines.begin, lines.n)
-                pick = chosen[lines.line] & (pos < (lines.n - _needed(lines.n, t) + 1)[lines.line])
-                word = lines.word[rare][pick]
-                half = (word >> np.uint64(32)).astype(np.uint32)
-                if words is not None:
-                    wanted = words[np.minimum(np.searchsorted(words, half), words.size - 1)] == half
-                    pick[np.flatnonzero(pick)[~wanted]] = False
-                    word, half = word[wanted], half[wanted]
-                at = lines.line[pick]
-                rows = np.zeros(at.size, ENTRY)
-                rows["word"], rows["set"], rows["bitmap"], rows["doc"] = half, (sets[at] >> np.uint64(32)).astype(np.uint32), bitmap[at], doc[at]
-                rows["line"], rows["n"], rows["pos"] = lines.number[at], lines.n[at], pos[pick]
-                held.append(((half % np.uint32(shards)).astype(np.int64), rows))
-                size += rows.size
-                if size > 200_000:
+                place = np.full(lines.n.size, -1)
+                place[heads] = np.arange(heads.size)
+                pick = (place[lines.line] >= 0) & (pos < (lines.n - _needed(lines.n, t) + 1)[lines.line])
+                held.append(
+                    Sets(
+                        sets[heads].view(np.int64), doc[heads], lines.number[heads].astype(np.int64), lines.n[heads], bitmap[heads].view(np.int64),
+                        (lines.word[ranges(lines.begin[heads], lines.n[heads])] >> np.uint64(24)).astype(np.int64),
+                        (lines.word[rare][pick] >> np.uint64(32)).astype(np.int64), place[lines.line[pick]], pos[pick],
+                    )
+                )
+                size += len(held[-1])
+                if size > HELD:
                     yield flush()
                     held, size = [], 0
         if size:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(make, "shard bigint, entries binary")
-
-
-def pairs_of(rows: np.ndarray, t: float, only: np.ndarray | None, apart: np.ndarray | None = None, listed: int = LISTED) -> Iterator[np.ndarray]:
-    """Candidates among entries: later and earlier line, the place of the pair among the
-    later line's, and whether there were more than the ``listed`` ones that are given.
-
-    ``only`` are keys of later lines of which all candidates are wanted, and of no
-    others. ``apart`` numbers blocks; only entries of different ones are then paired.
-    """
-    order = np.lexsort((rows["line"], rows["doc"], rows["set"], rows["word"]))
-    same = np.concatenate(([False], np.logical_and.reduce([rows[c][order][1:] == rows[c][order][:-1] for c in ("word", "set", "bitmap", "n")]))) if order.size else np.zeros(0, bool)
-    order = order[~same]
-    rows, apart = rows[order], None if apart is None else apart[order]
-    by = np.lexsort((rows["n"], rows["word"]))
-    rows, apart = rows[by], None if apart is None else apart[by]
-    if not rows.size:
-        return
-    word, begin = runs(rows["word"])
-    group = np.repeat(np.arange(word.size), np.diff(np.append(begin, rows.size)))
-    n = rows["n"].astype(np.int64)
+    return docs.select("doc_id", "text").mapInArrow(make, "shard bigint, size bigint, sets binary")
+
+
+_MATCH = "doc bigint, line int, other_doc bigint, other_line int, similarity double"
+
+
+def matches_in(sets: Sets, t: float, apart: np.ndarray | None = None) -> pa.RecordBatch:
+    """Lines that match an earlier one, with the first match found. ``apart`` numbers
+    blocks of sets; only those of different ones are then compared."""
+    by = np.lexsort((sets.n[sets.owner], sets.word))
+    owner, pos = sets.owner[by], sets.pos[by]
+    n = sets.n[owner]
+    word, first = runs(sets.word[by])
+    group = np.repeat(np.arange(word.size), np.diff(np.append(first, owner.size)))
     key = group << 32 | n
     low = np.searchsorted(key, group << 32 | _needed(n, t))
-    count = np.arange(rows.size) - low
-    # Blocks of entries with some hundred thousand pairs; an entry has at most as many as a shard's entries.
+    count = np.arange(owner.size) - low
+    begin = np.cumsum(sets.n) - sets.n
+    found = sets.words + (np.repeat(np.arange(sets.n.size), sets.n) << 40)  # ascending
+    match, similarity = np.full(sets.n.size, -1), np.zeros(sets.n.size)
+    bitmap = sets.bitmap.view(np.uint64)
+
+    def verify(later: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        size = sets.n[later]
+        probe = (np.repeat(earlier, size) << 40) + sets.words[ranges(begin[later], size)]
+        at = np.minimum(np.searchsorted(found, probe), found.size - 1)
+        shared = np.add.reduceat((found[at] == probe).astype(np.int64), np.cumsum(size) - size)
+        return shared / (size + sets.n[earlier] - shared)
+
     total = np.cumsum(count)
     a = 0
-    while a < rows.size:
-        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + 250_000, side="right")))
-        j = np.repeat(np.arange(a, b), count[a:b])
-        i = ranges(low[a:b], count[a:b])
-        need = np.ceil(t / (1 + t) * (n[i] + n[j]) - 1e-9).astype(np.int64)
-        ok = 1 + np.minimum(n[i] - rows["pos"][i], n[j] - rows["pos"][j]) - 1 >= need
-        apart_by = np.bitwise_count(rows["bitmap"][i] ^ rows["bitmap"][j]).astype(np.int64)
-        ok &= apart_by <= n[i] + n[j] - 2 * need
+    while a < owner.size:
+        # An entry has at most as many pairs as a shard has entries.
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + STEP, side="right")))
+        j, i = np.repeat(np.arange(a, b), count[a:b]), ranges(low[a:b], count[a:b])
+        a = b
+        one, two = owner[i], owner[j]
+        before = (sets.doc[one] < sets.doc[two]) | ((sets.doc[one] == sets.doc[two]) & (sets.line[one] < sets.line[two]))
+        later = np.where(before, two, one)
+        open_ = match[later] < 0
+        open_ &= (sets.doc[one] != sets.doc[two]) | (sets.line[one] != sets.line[two])
         if apart is not None:
-            ok &= apart[i] != apart[j]
-        i, j, apart_by = i[ok], j[ok], apart_by[ok]
-        swap = (rows["doc"][i] > rows["doc"][j]) | ((rows["doc"][i] == rows["doc"][j]) & (rows["line"][i] > rows["line"][j]))
-        later, earlier = np.where(swap, i, j), np.where(swap, j, i)
-        if only is not None:
-            wanted = np.isin(line_key(rows["doc"][later], rows["line"][later]), only)
-            later, earlier, apart_by = later[wanted], earlier[wanted], apart_by[wanted]
+            open_ &= apart[one] != apart[two]
+        i, j, one, two, before, later = (x[open_] for x in (i, j, one, two, before, later))
+        need = np.ceil(t / (1 + t) * (n[i] + n[j]) - 1e-9).astype(np.int64)
+        ok = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
+        differ = np.bitwise_count(bitmap[one] ^ bitmap[two]).astype(np.int64)
+        ok &= differ <= n[i] + n[j] - 2 * need
+        later, earlier, differ = later[ok], np.where(before, one, two)[ok], differ[ok]
         # The most alike first; of these the earliest.
-        order = np.lexsort((rows["line"][earlier], rows["doc"][earlier], apart_by, later))
-        later, earlier, apart_by = later[order], earlier[order], apart_by[order]
-        first = np.flatnonzero(np.concatenate(([True], np.diff(later) != 0))) if later.size else later
-        size = np.diff(np.append(first, later.size))
-        place, more = np.arange(later.size) - np.repeat(first, size), np.repeat(size > listed, size)
-        if only is None:
-            keep = place < listed
-            later, earlier, apart_by, place, more = later[keep], earlier[keep], apart_by[keep], place[keep], more[keep]
-        columns = [rows["doc"][later], rows["line"][later], rows["doc"][earlier], rows["line"][earlier], apart_by.astype(np.int32), place.astype(np.int32), more]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_PAIRS)
-        a = b
-
-
-def line_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return mix(mix(doc.astype(np.uint64)) + line.astype(np.uint64))
+        order = np.lexsort((sets.line[earlier], sets.doc[earlier], differ, later))
+        later, earlier = later[order], earlier[order]
+        head = runs(later)[1]
+        size = np.diff(np.append(head, later.size))
+        place = np.arange(later.size) - np.repeat(head, size)
+        done = 0
+        for upto in ROUNDS:
+            some = np.flatnonzero((place >= done) & (place < upto) & (match[later] < 0))
+            done = upto
+            for x in range(0, some.size, STEP // 10):
+                now = some[x : x + STEP // 10]
+                now = now[match[later[now]] < 0]
+                if not now.size:
+                    continue
+                alike = verify(later[now], earlier[now])
+                good = now[alike >= t - 1e-12][::-1]  # the first one is written last
+                match[later[good]] = earlier[good]
+                similarity[later[good]] = alike[alike >= t - 1e-12][::-1]
+    got = np.flatnonzero(match >= 0)
+    columns = [sets.doc[got], sets.line[got].astype(np.int32), sets.doc[match[got]], sets.line[match[got]].astype(np.int32), similarity[got]]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "line", "other_doc", "other_line", "similarity"])
+
+
+def matches(entries: DataFrame, shards: int, t: float, most: int) -> DataFrame:
+    """Lines that match an earlier one with which they share a prefix word. A task holds
+    ``most`` entries of a shard at once; fuller shards are split into blocks."""
+    entries = stored(entries)
+    sizes = entries.groupBy("shard").agg(F.sum("size").alias("all"))
+    full = materialise(sizes.filter(F.col("all") > most).select("shard", F.ceil(F.col("all") * 2 / most).cast("int").alias("blocks")))
 
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _together(batches, ["shard"], "sets"):
+            yield matches_in(Sets.joined([r[0] for r in rows]), t)
 
-def candidates(entries: DataFrame, t: float, only: np.ndarray | None, listed: int = LISTED, most: int = SHARD) -> DataFrame:
-    """Pairs of lines that share a prefix word and pass the filters. A task holds
-    ``most`` entries of a shard at once."""
-    sent = entries.sparkSession.sparkContext.broadcast(only)
+    if not full.limit(1).count():
+        return entries.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(meet, _MATCH)
+    rest = entries.join(full, "shard", "left_anti").repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(meet, _MATCH)
+    return rest.union(_between_blocks(entries.join(full, "shard"), t))
 
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, size = None, [], 0
 
-        def done() -> Iterator[pa.RecordBatch]:
-            if held and size <= most:
-                for pairs in pairs_of(np.concatenate(held), t, sent.value, None, listed):
-                    yield _with(pairs, None, [None] * pairs.num_rows)
+def _together(batches: Iterator[pa.RecordBatch], keys: list[str], *columns: str) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Equal keys of neighbouring rows, and their values in other columns."""
+    now, held = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in (*keys, *columns)), strict=True):
+            if row[: len(keys)] != now and held:
+                yield now, held
+                held = []
+            now = row[: len(keys)]
+            held.append(row[len(keys) :])
+    if held:
+        yield now, held
 
-        def deferred() -> pa.RecordBatch:
-            blobs = [_packed(h) for h in held]
-            none = [pa.nulls(len(blobs), f.type) for f in _PAIRS]
-            return pa.RecordBatch.from_arrays([*none, pa.array([shard] * len(blobs), pa.int64()), pa.array(blobs, pa.binary())], [*_PAIRS.names, "shard", "entries"])
 
-        for batch in batches:
-            for s, blob in zip(batch.column("shard").to_pylist(), batch.column("entries"), strict=True):
-                if s != shard:
-                    yield from done()
-                    shard, held, size = s, [], 0
-                rows = _unpacked(blob)
-                size += rows.size
-                held.append(rows)
-                if size > most:  # too many for one task: these go to pairs of blocks
-                    yield deferred()
-                    held = []
-        yield from done()
-
-    def _with(pairs: pa.RecordBatch, s, blobs) -> pa.RecordBatch:
-        n = pairs.num_rows
-        return pa.RecordBatch.from_arrays([*pairs.columns, pa.array([s] * n, pa.int64()), pa.array(blobs, pa.binary())], [*_PAIRS.names, "shard", "entries"])
-
-    met = entries.repartition("shard").sortWithinPartitions("shard").mapInArrow(meet, PAIR + ", shard bigint, entries binary")
-    met = stored(met)
-    pairs = met.filter("shard is null").select(*_PAIRS.names)
-    full = met.filter("shard is not null").select("shard", "entries")
-    sizes = full.groupBy("shard").agg(F.sum(F.octet_length("entries") / ENTRY.itemsize).alias("size"))
-    if not sizes.limit(1).count():
-        return pairs
-    return pairs.union(stored(_between_blocks(full.join(sizes.select("shard", F.ceil(F.col("size") * 2 / most).cast("int").alias("blocks")), "shard"), t, sent, listed)))
-
-
-def _between_blocks(full: DataFrame, t: float, sent, listed: int) -> DataFrame:
-    """Pairs of shards that are too large for a task: each entry goes to a block by the
-    hash of its set, and each two blocks meet; a block meets itself, too."""
+def _between_blocks(full: DataFrame, t: float) -> DataFrame:
+    """Matches in shards that are too large for a task: each set goes to a block by its
+    hash, and each two blocks meet; a block meets itself, too."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, blob, blocks in zip(batch.column("shard").to_pylist(), batch.column("entries"), batch.column("blocks").to_pylist(), strict=True):
-                rows = _unpacked(blob)
-                block = (mix(rows["set"].astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
-                for k in range(blocks):
-                    part = _packed(rows[block == k])
-                    if part:
-                        meet = [(min(k, other), max(k, other)) for other in range(blocks)]
-                        yield pa.RecordBatch.from_pydict({"shard": [shard] * blocks, "a": [m[0] for m in meet], "b": [m[1] for m in meet], "own": [k] * blocks, "entries": [part] * blocks})
+            for shard, blob, blocks in zip(batch.column("shard").to_pylist(), batch.column("sets").to_pylist(), batch.column("blocks").to_pylist(), strict=True):
+                every = Sets.joined([blob])
+                block = (mix(every.set.view(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+                for k in np.unique(block).tolist():
+                    part = every.chosen(np.flatnonzero(block == k)).packed()
+                    pairs = [(min(k, other), max(k, other)) for other in range(blocks)]
+                    columns = [pa.array([shard] * blocks, pa.int64()), *(pa.array([p[x] for p in pairs], pa.int64()) for x in (0, 1)), pa.array([k] * blocks, pa.int64()), pa.array([part] * blocks, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["shard", "a", "b", "own", "sets"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, own = None, [], []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if held:
-                rows = np.concatenate(held)
-                apart = np.repeat(own, [h.size for h in held]) if key[1] != key[2] else None
-                yield from pairs_of(rows, t, sent.value, apart, listed)
-
-        for batch in batches:
-            for s, a, b, k, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "a", "b", "own")), batch.column("entries"), strict=True):
-                if (s, a, b) != key:
-                    yield from done()
-                    key, held, own = (s, a, b), [], []
-                held.append(_unpacked(blob))
-                own.append(k)
-        yield from done()
-
-    dealt = full.mapInArrow(deal, "shard bigint, a bigint, b bigint, own bigint, entries binary")
-    return dealt.repartition("shard", "a", "b").sortWithinPartitions("shard", "a", "b").mapInArrow(meet, PAIR)
-
-
-_PAIRS = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("other_doc", pa.int64()), ("other_line", pa.int32()), ("apart", pa.int32()), ("place", pa.int32()), ("more", pa.bool_())])
-
-
-def _line_filter(lines: DataFrame) -> np.ndarray:
-    """A bitmap of ``FILTER_BITS`` with the bits of the lines (doc, line) set."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = line_key(batch.column("doc").to_numpy(), batch.column("line").to_numpy()) % np.uint64(FILTER_BITS)
-            word, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
-            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bit"])
-
-    marked = lines.select("doc", "line").mapInArrow(mark, "word bigint, bit bigint")
-    table = marked.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # FILTER_BITS / 64 rows at most
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[table.column("word").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
-    return out
+        for (_, a, b), rows in _together(batches, ["shard", "a", "b"], "own", "sets"):
+            both = Sets.joined([r[1] for r in rows])
+            one = [r[1] for r in rows if r[0] == a]
+            # A block that meets itself compares all its sets, two blocks only those of different ones.
+            if a == b:
+                yield matches_in(both, t)
+            elif one and len(one) < len(rows):
+                yield matches_in(both, t, np.isin(both.set, Sets.joined(one).set).astype(np.int64))
 
-
-def verified(docs: DataFrame, pairs: DataFrame, t: float, least_words: int) -> DataFrame:
-    """The pairs at a similarity of ``t`` or more, with it."""
-    needed = pairs.select("doc", "line").union(pairs.select("other_doc", "other_line")).distinct()
-    ids = materialise(needed.select(F.col("doc").alias("doc_id")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        docs = docs.join(F.broadcast(ids), "doc_id", "left_semi")
-
-    sent = docs.sparkSession.sparkContext.broadcast(_line_filter(needed))
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = sent.value
-        for batch in batches:
-            for first, last, raw, offsets in text_chunks(batch):
-                lines = Lines(raw, offsets, least_words)
-                doc = _column(batch, "doc_id", first, last)[lines.text]
-                at = line_key(doc, lines.number) % np.uint64(FILTER_BITS)
-                # A few lines more than those needed; the join takes them out.
-                maybe = marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) > 0
-                ends = np.append(0, np.cumsum(lines.n[maybe])).astype(np.int32)
-                words = pa.ListArray.from_arrays(pa.array(ends), pa.array(lines.word[maybe[lines.line]].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(doc[maybe]), pa.array(lines.number[maybe]), words], ["doc", "line", "words"])
-
-    lines = docs.select("doc_id", "text").mapInArrow(sets, "doc bigint, line int, words array<bigint>")
-    lines = stored(lines.join(needed, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"]))
-    other = lines.select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("words").alias("other_words"))
-    both = pairs.join(lines, ["doc", "line"]).join(other, ["other_doc", "other_line"])
-    shared = F.size(F.array_intersect("words", "other_words"))
-    return both.withColumn("similarity", shared / (F.size("words") + F.size("other_words") - shared)).filter(F.col("similarity") >= t - 1e-12).select("doc", "line", "other_doc", "other_line", "similarity")
-
-
-def _unmatched(pairs: DataFrame, matches: DataFrame) -> DataFrame:
-    """The later lines (doc, line) of ``pairs`` that have no match."""
-    return pairs.select("doc", "line").distinct().join(matches.select("doc", "line").distinct(), ["doc", "line"], "left_anti")
-
-
-def _half_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for blob in batch.column("entries"):
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_unpacked(blob)["word"]).astype(np.int64))], ["word"])
+    dealt = full.mapInArrow(deal, "shard bigint, a bigint, b bigint, own bigint, sets binary")
+    return dealt.repartition("shard", "a", "b").sortWithinPartitions("shard", "a", "b").mapInArrow(meet, _MATCH)
 
 
-def find(docs: DataFrame, threshold: float = 0.8, least_words: int = 5, first_ones: int = FIRST, listed: int = LISTED, most: int = SHARD) -> DataFrame:
+def find(docs: DataFrame, threshold: float = 0.8, least_words: int = 5, most: int = SHARD) -> DataFrame:
     """(doc_id, line_no, match_doc_id, match_line_no, similarity) of each line of ``docs``
-    (doc_id, text) that matches an earlier one, with the earliest match found of it. ``first_ones``,
-    ``listed`` and ``most`` (see ``candidates``) change the way, not which lines are found."""
+    (doc_id, text) that matches an earlier one, with the earliest match found of it. ``most``
+    (see ``matches``) changes the way, not which lines are found."""
     docs = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     firsts, rarity, total = survey(docs, least_words)
     owner = firsts.groupBy("set").agg(F.min("doc").alias("least"), F.max("doc").alias("greatest")).filter("least < greatest")
@@ -444,33 +413,7 @@ def find(docs: DataFrame, threshold: float = 0.8, least_words: int = 5, first_on
     copies = later.union(within).withColumn("similarity", F.lit(1.0))
     # A set has about a part 1 - threshold of its words in its prefix.
     shards = max(16, int(total * (1 - threshold) * 1.2 / AIM))
-    pairs = candidates(prefixes(docs, rarity, shards, threshold, least_words), threshold, None, listed, most)
-    # One candidate of each line, that most like it; then more of those that have no match.
-    best = pairs.filter("place = 0").groupBy("doc", "line").agg(F.min(F.struct("apart", "other_doc", "other_line")).alias("best"))
-    tried = stored(best.select("doc", "line", "best.other_doc", "best.other_line"))
-    matches = stored(verified(docs, tried, threshold, least_words))
-    for most_of_word in (first_ones, listed):
-        some = pairs.filter(F.col("place") < most_of_word).select(*KEYS)
-        left = materialise(_unmatched(tried, matches))
-        n = left.count()
-        some = some.join(F.broadcast(left) if n <= BROADCAST_IDS else left, ["doc", "line"], "left_semi").distinct()
-        rest = stored(some.join(tried, KEYS, "left_anti"))
-        matches = matches.union(stored(verified(docs, rest, threshold, least_words)))
-        tried = tried.union(rest)
-    # Lines that had more candidates than these: all of them.
-    left = materialise(_unmatched(pairs.filter("more"), matches))
-    passes = -(-left.count() // PASS)
-    for k in range(passes):
-        part = left.filter(F.pmod(F.xxhash64("doc", "line"), F.lit(passes)) == k)  # about PASS rows
-        table = part.toArrow()
-        only = np.unique(line_key(table.column("doc").to_numpy(), table.column("line").to_numpy()))
-        own = docs.join(F.broadcast(part.select(F.col("doc").alias("doc_id")).distinct()), "doc_id", "left_semi")
-        asked = prefixes(own, rarity, 1, threshold, least_words, only).select("entries").mapInArrow(_half_words, "word bigint").distinct()
-        words = np.sort(asked.toArrow().column("word").to_numpy()).astype(np.uint32)  # the prefixes of PASS lines
-        some = prefixes(docs, rarity, shards, threshold, least_words, None, words)
-        rest = stored(candidates(some, threshold, only, listed, most).select(*KEYS).distinct())
-        matches = matches.union(verified(docs, rest, threshold, least_words))
-    found = copies.union(matches)
+    found = copies.union(matches(prefixes(docs, rarity, shards, threshold, least_words), shards, threshold, most))
     best = F.min(F.struct("other_doc", "other_line", "similarity"))
     out = found.groupBy("doc", "line").agg(best.alias("m"))
     return out.select(F.col("doc").alias("doc_id"), F.col("line").alias("line_no"), F.col("m.other_doc").alias("match_doc_id"), F.col("m.other_line").alias("match_line_no"), "m.similarity")

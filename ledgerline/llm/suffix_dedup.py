@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import CHUNK_BYTES, give_back, mix, output, ranges, read, schema_of, stored, text_chunks
+from ledgerline.llm.common import CHUNK_BYTES, give_back, mix, output, pack_columns, ranges, read, schema_of, stored, text_chunks, unpack_columns
 
 #: Bytes of a string that must not repeat, and of an anchor.
 LENGTH, ANCHOR = 100, 40
@@ -145,18 +145,6 @@ def anchors(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return text[first], start[first], count, at[first], hashes[at[first]] >> np.uint64(16)
 
 
-def _pack(*columns: np.ndarray) -> bytes:
-    """Whole numbers, column by column and byte by byte of them, compressed."""
-    planes = b"".join(np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
-    return len(columns[0]).to_bytes(4, "little") + pa.compress(planes, "zstd", asbytes=True)
-
-
-def _unpack(blob: bytes, columns: int) -> list[np.ndarray]:
-    n = int.from_bytes(blob[:4], "little")
-    planes = np.frombuffer(pa.decompress(blob[4:], n * 8 * columns, "zstd"), np.uint8).reshape(columns, 8, n)
-    return [np.ascontiguousarray(p.T).view("<i8").ravel().astype(np.int64) for p in planes]
-
-
 def _by_document(shards: int, ord_: np.ndarray, tie: np.ndarray, *values: np.ndarray) -> pa.RecordBatch | None:
     """(shard, kind 0, blob): documents with their values, packed, by a hash of the document."""
     if not ord_.size:
@@ -164,7 +152,7 @@ def _by_document(shards: int, ord_: np.ndarray, tie: np.ndarray, *values: np.nda
     shard = (mix(ord_.astype(np.uint64) ^ mix(tie.astype(np.uint64))) % np.uint64(shards)).astype(np.int64)
     by = np.lexsort((values[0], tie, ord_, shard))
     cut, size = _runs_of(shard[by])
-    blobs = [_pack(*(v[by[a : a + n]] for v in (ord_, tie, *values))) for a, n in zip(cut.tolist(), size.tolist(), strict=True)]
+    blobs = [pack_columns(*(v[by[a : a + n]] for v in (ord_, tie, *values))) for a, n in zip(cut.tolist(), size.tolist(), strict=True)]
     return _rows(shard[by][cut].tolist(), [0] * cut.size, [None] * cut.size, blobs)
 
 
@@ -201,7 +189,7 @@ def _listed(docs: DataFrame, shards: int) -> DataFrame:
         for a, n in zip(cut.tolist(), size.tolist(), strict=True):
             one = by[a : a + n]
             own = h[one].view(np.int64)
-            blobs.append(_pack(np.diff(own, prepend=0), ord_[one], tie[one], at[one], count[one]))
+            blobs.append(pack_columns(np.diff(own, prepend=0), ord_[one], tie[one], at[one], count[one]))
         yield _rows(shard[by][cut].tolist(), [1] * cut.size, [None] * cut.size, blobs)
         give_back()
 
@@ -270,7 +258,7 @@ def _repeated(listed: DataFrame, shards: int, hot: int) -> DataFrame:
             if passed is not None:
                 yield passed
                 continue
-            parts = [_unpack(b, 5) for b in blobs]
+            parts = [unpack_columns(b, 5) for b in blobs]
             for p in parts:
                 p[0] = np.cumsum(p[0])
             h, ord_, tie, at, count = (np.concatenate(c) for c in zip(*parts, strict=True))
@@ -295,7 +283,7 @@ def _with_places(docs: DataFrame, rows: DataFrame, columns: int, shards: int, ho
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blobs in _shards_of(batches):
-            ord_, tie, *values = (np.concatenate(c) for c in zip(*(_unpack(b, 2 + columns) for b in blobs), strict=True))
+            ord_, tie, *values = (np.concatenate(c) for c in zip(*(unpack_columns(b, 2 + columns) for b in blobs), strict=True))
             by = np.lexsort((values[0], tie, ord_))
             ord_, tie, values = ord_[by], tie[by], np.stack([v[by] for v in values]).astype("<i4")
             first = np.flatnonzero(np.concatenate(([True], (ord_[1:] != ord_[:-1]) | (tie[1:] != tie[:-1]))))
@@ -338,7 +326,7 @@ def _cut(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
         blobs = []
         for x, m in zip(cut.tolist(), n.tolist(), strict=True):
             one = kept[order[x : x + m]]
-            head = _pack(size[one], key[one].view(np.int64), back[one], ord_[one], tie[one], start[one])
+            head = pack_columns(size[one], key[one].view(np.int64), back[one], ord_[one], tie[one], start[one])
             text = raw[ranges(begin[one], size[one])].tobytes()
             blobs.append(len(head).to_bytes(4, "little") + head + len(text).to_bytes(4, "little") + pa.compress(text, "zstd", asbytes=True))
         yield _rows(shard[order][cut].tolist(), [1] * cut.size, [None] * cut.size, blobs)
@@ -490,7 +478,7 @@ def _sorted(cuttings: DataFrame, shards: int) -> DataFrame:
             heads, texts = [], []
             for blob in blobs:
                 n = int.from_bytes(blob[:4], "little")
-                heads.append(_unpack(blob[4 : 4 + n], 6))
+                heads.append(unpack_columns(blob[4 : 4 + n], 6))
                 m = int.from_bytes(blob[4 + n : 8 + n], "little")
                 texts.append(np.frombuffer(pa.decompress(blob[8 + n :], m, "zstd"), np.uint8))
             raw = np.concatenate(texts)

@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -152,16 +153,33 @@ def lines_fixture():
     return rows
 
 
-@pytest.mark.parametrize("first_ones, listed, most", [(2, 32, 10**6), (1, 2, 60)])
-def test_lines_equal_brute_force(spark, first_ones, listed, most):
+@pytest.mark.parametrize("most, step", [(10**6, 10**5), (60, 30), (10**6, 30)])
+def test_lines_equal_brute_force(spark, monkeypatch, most, step):
+    monkeypatch.setattr(line_dedup, "STEP", step)
     rows = lines_fixture()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    got = {(r.doc_id, r.line_no): (r.match_doc_id, r.match_line_no) for r in line_dedup.find(docs, first_ones=first_ones, listed=listed, most=most).collect()}
+    got = {(r.doc_id, r.line_no): (r.match_doc_id, r.match_line_no) for r in line_dedup.find(docs, most=most).collect()}
     want = brute_lines(rows)
     assert got.keys() == want.keys()
     assert all(match in want[key] for key, match in got.items())
 
 
+def test_lines_beyond_a_million_in_a_text_keep_their_order():
+    """Sorting by line and word is the same with and without room for both in one number."""
+    rng = np.random.default_rng(3)
+    line = np.sort(rng.integers(0, 2**21, 3_000))
+    value = rng.integers(0, 2**40, 3_000).astype(np.uint64)
+    for bits in (40, 44):
+        order = line_dedup._by_line(line, value, bits)
+        assert (np.diff(line[order]) >= 0).all()
+        assert ((np.diff(value[order].astype(np.int64)) >= 0) | (np.diff(line[order]) > 0)).all()
+    text = b"a b c d e\n" * (2**20 + 5) + b"z y x w v\nv w x y z"
+    lines = line_dedup.Lines(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 5)
+    assert lines.n.size == 2**20 + 7 and (lines.n == 5).all() and (lines.number == np.arange(lines.n.size)).all()
+    sets = lines.sets()
+    assert len({*sets[: 2**20 + 5].tolist()}) == 1 and sets[-1] == sets[-2] != sets[0]
+
+
 def test_lines_are_taken_out(spark):
     rows = lines_fixture()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "length(text) as n_chars", "'x' as line", "1 as `__gone`", "2 as row")

@@ -167,21 +167,26 @@ def norms(rows: np.ndarray, step: int = 2_000) -> np.ndarray:
     return np.sqrt(np.maximum(np.concatenate(parts), 1e-12)) if parts else np.zeros(0)
 
 
-def similarity(rows: np.ndarray, landmarks: np.ndarray, step: int = 400) -> np.ndarray:
+def similarity(rows: np.ndarray, landmarks: np.ndarray, step: int = 400, block: int = 64) -> np.ndarray:
     """The normalised kernel of each word with each landmark, by their triples."""
-    code = triples(landmarks)
-    known = np.unique(code[code > 0])
-    column = np.full(1 << 3 * BITS, -1, np.int32)
-    column[known] = np.arange(known.size)
-
-    def counts(words: np.ndarray) -> np.ndarray:
-        at = column[triples(words)]
-        word, place = np.nonzero(at >= 0)
-        return np.bincount(word * known.size + at[word, place], FADED[place], words.shape[0] * known.size).reshape(-1, known.size)
-
-    own = counts(landmarks).T / norms(landmarks)
-    parts = [counts(rows[a : a + step]) @ own for a in range(0, rows.shape[0], step)]
-    return np.concatenate(parts) / norms(rows)[:, None] if parts else np.zeros((0, landmarks.shape[0]))
+    out = np.zeros((rows.shape[0], landmarks.shape[0]), np.float32)
+    size = norms(rows)[:, None]
+    for first in range(0, landmarks.shape[0], block):
+        marks = landmarks[first : first + block]
+        known = np.unique(code := triples(marks))
+        known = known[known > 0]
+        column = np.full(1 << 3 * BITS, -1, np.int32)
+        column[known] = np.arange(known.size)
+
+        def counts(code: np.ndarray, column=column, many=known.size) -> np.ndarray:
+            at = column[code]
+            word, place = np.nonzero(at >= 0)
+            return np.bincount(word * many + at[word, place], FADED[place], code.shape[0] * many).reshape(-1, many)
+
+        own = counts(code).T / norms(marks)
+        for a in range(0, rows.shape[0], step):
+            out[a : a + step, first : first + block] = counts(triples(rows[a : a + step])) @ own / size[a : a + step]
+    return out
 
 
 @dataclass
@@ -311,7 +316,7 @@ def _near_counts(sentences: DataFrame, machine: Machine) -> DataFrame:
     return made.groupBy("word").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean"))).withColumn("telling", F.lit(0).cast("bigint"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, landmarks: int = 800, words: int = 8_000, seed: int = 7) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = 20_000, landmarks: int = 800, words: int = 6_000, seed: int = 7) -> Machine:
     """Learns from at most ``sample`` labelled (doc_id, toxic) texts, chosen by hash: from
     their most frequent ``words`` telling words, as many others, chosen by hash, and in
     each round as many words that the machine wrongly takes for insults."""
@@ -441,15 +446,21 @@ def _train(k_marks: np.ndarray, k: np.ndarray, pro: np.ndarray, con: np.ndarray,
     value, vector = np.linalg.eigh(k_marks.astype(float))
     good = value > 1e-6
     root = vector[:, good] / np.sqrt(value[good])
-    x = np.column_stack([k @ root, np.ones(pro.size)])
     scale = 1 / (pro.sum() + con.sum())
     pro, con = pro * scale, con * scale
-    theta = np.zeros(x.shape[1])
-    ridge = penalty * np.append(np.ones(x.shape[1] - 1), 1e-3)
+    parts = [slice(a, a + 2_000) for a in range(0, pro.size, 2_000)]
+    x = [np.column_stack([k[p] @ root, np.ones(k[p].shape[0])]).astype(np.float32) for p in parts]
+    theta = np.zeros(x[0].shape[1])
+    ridge = penalty * np.append(np.ones(theta.size - 1), 1e-3)
     for _ in range(60):
-        f = x @ theta
-        up, down = pro * (f < 1), con * (f > -1)
-        step = np.linalg.solve((x * (up + down)[:, None]).T @ x + np.diag(ridge), x.T @ (up - down))
+        left, right = np.diag(ridge), np.zeros(theta.size)
+        for p, one in zip(parts, x, strict=True):
+            one = one.astype(float)
+            f = one @ theta
+            up, down = pro[p] * (f < 1), con[p] * (f > -1)
+            left = left + (one * (up + down)[:, None]).T @ one
+            right += one.T @ (up - down)
+        step = np.linalg.solve(left, right)
         if np.abs(step - theta).max() < 1e-8:
             break
         theta = theta + 0.7 * (step - theta)

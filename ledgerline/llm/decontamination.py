@@ -8,6 +8,11 @@ running Karp-Rabin hashes: n neighbouring equal windows on a diagonal are a matc
 n + min_match - 1 words. Tiles may stand in any order, so reordered passages count. A
 text is contaminated by an item if the tiles cover enough of the item's words.
 
+Pairs of a text and an item are joined by distinct windows, so one that repeats many times
+counts once. Only if the shared windows could cover enough of the item are its matches
+laid out, one pair at a time, as runs on diagonals that follow the item window by window:
+memory grows with the text and the runs, never with the pairs of equal windows.
+
 Words are lower-cased and freed of white space and ASCII punctuation. The benchmark is
 sent to the tasks in blocks of bounded size, one pass over the texts for each block;
 the texts are not shuffled.
@@ -31,48 +36,99 @@ from ledgerline.llm.common import BREAKS, LOWER, HashArray, Words, output, range
 HIT = "array<struct<item_id:bigint,coverage:double,n_tiles:int,longest:int>>"
 #: Bytes of benchmark text in a block.
 BLOCK_BYTES = 16_000_000
+#: Windows of texts, once for each item that has them, that are looked at together.
+PAIRS = 500_000
 
 
 class Items:
-    """The windows of a block of benchmark items, by hash."""
+    """The windows of a block of benchmark items: ``key`` numbers equal ones, in order of
+    item and place; ``first`` is where each item's begin."""
 
     def __init__(self, ids: np.ndarray, raw: np.ndarray, offsets: np.ndarray, min_match: int):
         words = Words(raw, offsets, BREAKS)
         of = np.repeat(np.arange(ids.size), words.per_text)
         hashes = windows(words.hashes(LOWER), min_match)
         at = np.flatnonzero(of[: hashes.size] == of[min_match - 1 :]) if hashes.size else np.zeros(0, np.int64)
-        order = at[np.argsort(hashes[at], kind="stable")]
-        keys, begin = np.unique(hashes[order], return_index=True)
+        keys, self.key = np.unique(hashes[at], return_inverse=True)
         self.ids, self.size, self.min_match = ids, words.per_text, min_match
-        self.found, self.begin = HashArray(keys), begin
-        self.count = np.diff(np.append(begin, order.size))
-        self.item, self.place = of[order], order - words.first[of[order]]
-
-    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Seeds: window of the texts, item, window of the item."""
-        row = self.found.find(hashes)
-        at = np.flatnonzero(row >= 0)
-        row = row[at]
-        occurrence = ranges(self.begin[row], self.count[row])
-        return np.repeat(at, self.count[row]), self.item[occurrence], self.place[occurrence]
+        self.found = HashArray(keys)
+        self.first = np.searchsorted(of[at], np.arange(ids.size + 1))
+        # Which items have a window, each once.
+        code = np.unique(self.key.astype(np.int64) * max(1, ids.size) + of[at])
+        self.holder = code % max(1, ids.size)
+        self.begin = np.searchsorted(code // max(1, ids.size), np.arange(keys.size + 1))
+
+    def sharing(self, text: np.ndarray, key: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Texts, items that share windows with them, and the keys of these. ``text`` and
+        ``key`` are those of the texts' windows that some item has, in order of text."""
+        code = np.unique(text.astype(np.int64) * max(1, self.begin.size) + key)
+        text, key = code // max(1, self.begin.size), code % max(1, self.begin.size)
+        many = np.diff(self.begin)[key]
+        total = np.cumsum(many)
+        a = 0
+        while a < text.size:
+            # Some texts at a time, as a window may be in many items.
+            b = int(np.searchsorted(total, (total[a - 1] if a else 0) + PAIRS, "right"))
+            b = int(np.searchsorted(text, text[min(max(b, a + 1), text.size) - 1], "right"))
+            at = np.repeat(np.arange(a, b), many[a:b])
+            item = self.holder[ranges(self.begin[key[a:b]], many[a:b])]
+            by = np.lexsort((item, text[at]))
+            at, item = at[by], item[by]
+            cuts = np.flatnonzero(np.concatenate(([True], (np.diff(text[at]) != 0) | (np.diff(item) != 0), [True]))) if at.size else at
+            for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+                yield int(text[at[x]]), int(item[x]), key[at[x:y]]
+            a = b
+
+
+def diagonals(text: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of equal windows: place in the text, place in the item and windows,
+    from the numbers of the windows of a text (-1: in no item) and of an item."""
+    since, before = np.zeros(text.size, np.int64), np.zeros(text.size, bool)
+    runs = []
+    for q in range(item.size + 1):
+        now = text == item[q] if q < item.size else np.zeros(text.size, bool)
+        goes_on = np.zeros(text.size, bool)
+        goes_on[:-1] = before[:-1] & now[1:]
+        over = np.flatnonzero(before & ~goes_on)
+        if over.size:
+            n = q - since[over]
+            runs.append((over - n + 1, since[over], n))
+        fresh = np.full(text.size, q)
+        fresh[1:][goes_on[:-1]] = since[:-1][goes_on[:-1]]
+        since, before = fresh, now
+    return tuple(np.concatenate(c) for c in zip(*runs, strict=True)) if runs else (np.zeros(0, np.int64),) * 3
+
+
+def lay(p: np.ndarray, q: np.ndarray, n: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """Tiles (place in the text, place in the item, words) from runs of ``n`` windows of
+    ``width`` words: greedily the longest, of equal ones the first in the text, then in
+    the item. What a tile covers is cut out of the other runs."""
+    tiles = []
+    while p.size:
+        longest = np.flatnonzero(n == n.max())
+        best = longest[np.lexsort((q[longest], p[longest]))[0]]
+        a, b, size = int(p[best]), int(q[best]), int(n[best]) + width - 1
+        tiles.append((a, b, size))
+        # Windows of a run that end before the tile or begin behind it, in both.
+        ends = np.minimum(n - 1, a - width - p), np.minimum(n - 1, b - width - q)
+        begins = np.maximum(0, a + size - p), np.maximum(0, b + size - q)
+        zero, last = np.zeros(n.size, np.int64), n - 1
+        pieces = []
+        for low_p, high_p in ((zero, ends[0]), (begins[0], last)):
+            for low_q, high_q in ((zero, ends[1]), (begins[1], last)):
+                low, high = np.maximum(low_p, low_q), np.minimum(high_p, high_q)
+                left = low <= high
+                pieces.append((p[left] + low[left], q[left] + low[left], (high - low + 1)[left]))
+        p, q, n = (np.concatenate(c) for c in zip(*pieces, strict=True))
+    return tiles
 
 
 def tile(p: np.ndarray, q: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """Tiles (place in the text, place in the item, words) from the seeds (p, q) of a
-    pair: greedily the longest, of equal ones the first in the text, then in the item."""
-    tiles = []
+    """The tiles of the seeds (p, q): places of equal windows in a text and an item."""
     order = np.lexsort((p, p - q))
     p, q = p[order], q[order]
-    while p.size:
-        new = np.flatnonzero(np.concatenate(([True], (np.diff(p) != 1) | (np.diff(p - q) != 0))))
-        length = np.diff(np.append(new, p.size))
-        best = new[np.lexsort((q[new], p[new], -length))[0]]
-        n = int(length.max()) + width - 1
-        a, b = int(p[best]), int(q[best])
-        tiles.append((a, b, n))
-        free = ((p + width <= a) | (p >= a + n)) & ((q + width <= b) | (q >= b + n))
-        p, q = p[free], q[free]
-    return tiles
+    new = np.flatnonzero(np.concatenate(([True], (np.diff(p) != 1) | (np.diff(p - q) != 0)))) if p.size else p
+    return lay(p[new], q[new], np.diff(np.append(new, p.size)), width)
 
 
 def with_hits(docs: DataFrame, items: Items, keep: list[str], least: float) -> DataFrame:
@@ -86,23 +142,20 @@ def with_hits(docs: DataFrame, items: Items, keep: list[str], least: float) -> D
             for first, last, raw, offsets in text_chunks(batch):
                 words = Words(raw, offsets, BREAKS)
                 of = np.repeat(np.arange(last - first), words.per_text)
-                hashes = windows(words.hashes(LOWER), width)
-                at, item, q = items.hits(hashes)
-                inside = of[at] == of[np.minimum(at + width - 1, max(0, of.size - 1))] if of.size else at < 0
-                at, item, q = at[inside], item[inside], q[inside]
+                key = items.found.find(windows(words.hashes(LOWER), width))
+                key[of[: key.size] != of[width - 1 :][: key.size]] = -1  # across two texts
                 hits: list[list[dict]] = [[] for _ in range(last - first)]
-                order = np.lexsort((at, item, of[at]))
-                at, item, q = at[order], item[order], q[order]
-                text = of[at]
-                cuts = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(item) != 0), [True]))) if at.size else at
-                for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    places = np.unique(q[a:b])
-                    if np.minimum(np.diff(places), width).sum() + width < least * items.size[item[a]]:
-                        continue  # all its seeds together don't cover enough
-                    tiles = tile(at[a:b] - words.first[text[a]], q[a:b], width)
-                    coverage = sum(t[2] for t in tiles) / int(items.size[item[a]])
+                at = np.flatnonzero(key >= 0)
+                for text, item, shared in items.sharing(of[at], key[at]):
+                    own = items.key[items.first[item] : items.first[item + 1]]
+                    places = np.flatnonzero(np.isin(own, shared))
+                    if np.minimum(np.diff(places), width).sum() + width < least * items.size[item]:
+                        continue  # all its windows together don't cover enough
+                    mine = key[words.first[text] : min(words.first[text + 1], key.size)]
+                    tiles = lay(*diagonals(mine, own), width)
+                    coverage = sum(t[2] for t in tiles) / int(items.size[item])
                     if coverage >= least:
-                        hits[text[a]].append({"item_id": int(items.ids[item[a]]), "coverage": coverage, "n_tiles": len(tiles), "longest": max(t[2] for t in tiles)})
+                        hits[text].append({"item_id": int(items.ids[item]), "coverage": coverage, "n_tiles": len(tiles), "longest": max(t[2] for t in tiles)})
                 yield output(batch, keep, first, last, [pa.array(hits, HIT_TYPE)], ["hits"])
 
     return with_text(docs, keep).mapInArrow(find, schema_of(docs, keep) + f"hits {HIT}")

@@ -94,7 +94,30 @@ def test_tiling_equals_brute_force(spark):
         width = rng.randint(1, 4)
         seeds = [(a, b) for a in range(len(text) - width + 1) for b in range(len(item) - width + 1) if text[a : a + width] == item[b : b + width]]
         p, q = (np.array([s[k] for s in seeds], np.int64) for k in (0, 1))
-        assert decontamination.tile(p, q, width) == brute_tiling(text, item, width)
+        want = brute_tiling(text, item, width)
+        assert decontamination.tile(p, q, width) == want
+        numbers = {}
+        rows = [np.array([numbers.setdefault(tuple(s[a : a + width]), len(numbers)) for a in range(len(s) - width + 1)], np.int64) for s in (item, text)]
+        assert decontamination.lay(*decontamination.diagonals(rows[1], rows[0]), width) == want
+
+
+def test_long_repeats_are_tiled_in_little_memory(spark):
+    """A text of 80 KB and an item of 20 KB of one repeated word."""
+    import tracemalloc
+
+    def run():
+        raw = b"w " * 10_000
+        items = decontamination.Items(np.array([4]), np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), 5)
+        key = np.zeros(39_996, np.int64)
+        shared = list(items.sharing(np.zeros(key.size, np.int64), key))
+        assert [(t, i, k.tolist()) for t, i, k in shared] == [(0, 0, [0])]
+        return decontamination.lay(*decontamination.diagonals(key, items.key), 5)
+
+    tracemalloc.start()
+    tiles = run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tiles == [(0, 0, 10_000)] and peak < 100e6
 
 
 def test_contaminated_texts_are_found(spark):

@@ -122,8 +122,8 @@ def line_sets(rows, least_words=5):
                 yield (doc, k), words
 
 
-def brute_lines(rows, t=0.8):
-    sets = sorted(line_sets(rows), key=lambda x: x[0])
+def brute_lines(rows, t=0.8, least_words=5):
+    sets = sorted(line_sets(rows, least_words), key=lambda x: x[0])
     out = defaultdict(set)
     for i, (key, words) in enumerate(sets):
         for other, others in sets[:i]:
@@ -153,12 +153,11 @@ def lines_fixture():
     return rows
 
 
-@pytest.mark.parametrize("most, step", [(10**6, 10**5), (60, 30), (10**6, 30)])
-def test_lines_equal_brute_force(spark, monkeypatch, most, step):
-    monkeypatch.setattr(line_dedup, "STEP", step)
+@pytest.mark.parametrize("first_ones, listed, most", [(2, 32, 10**6), (1, 2, 60)])
+def test_lines_equal_brute_force(spark, first_ones, listed, most):
     rows = lines_fixture()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
-    got = {(r.doc_id, r.line_no): (r.match_doc_id, r.match_line_no) for r in line_dedup.find(docs, most=most).collect()}
+    got = {(r.doc_id, r.line_no): (r.match_doc_id, r.match_line_no) for r in line_dedup.find(docs, first_ones=first_ones, listed=listed, most=most).collect()}
     want = brute_lines(rows)
     assert got.keys() == want.keys()
     assert all(match in want[key] for key, match in got.items())

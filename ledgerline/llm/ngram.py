@@ -51,9 +51,10 @@ class Characters:
 
 
 class Vocabulary:
-    """Symbols are lower-cased words of a shared vocabulary, given by their hashes."""
+    """Symbols are lower-cased words of a shared vocabulary, given by their hashes; the
+    first ones have the lowest symbols."""
 
-    bits = 16
+    bits = 21
 
     def __init__(self, hashes: np.ndarray):
         self.known = HashArray(hashes[: 2**self.bits - 2])
@@ -62,7 +63,7 @@ class Vocabulary:
     def symbols(self, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         words = Words(raw, offsets)
         at = self.known.find(words.hashes(LOWER))
-        return np.where(at < 0, UNKNOWN, at + 2).astype(np.uint16), words.per_text
+        return np.where(at < 0, UNKNOWN, at + 2).astype(np.uint32), words.per_text
 
 
 def codes(symbols: np.ndarray, sizes: np.ndarray, order: int, bits: int) -> np.ndarray:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm.language_id import identify, op5_language_id
+from ledgerline.llm import lm_scoring
 from ledgerline.llm.lm_scoring import score, word_counts
 from ledgerline.llm.ngram import Characters, Vocabulary, codes, count_ngrams, estimate, learn_characters
 from ledgerline.llm.quality_classifier import SLACK_HIGH, SLACK_LOW, fit, keep_good
@@ -233,6 +234,55 @@ def test_scores_are_differences_of_losses(spark):
     assert score(df.limit(0), target).count() == 0
 
 
+@pytest.mark.parametrize("tokens, shard", [(10**6, 10**6), (50, 900)])
+def test_sharded_losses_equal_the_models(spark, monkeypatch, tokens, shard):
+    """Scores against whole models in memory, which equal the textbook's, with an unknown word."""
+    rng = random.Random(17)
+    words = [f"w{i}" for i in range(900)]
+    text = lambda n: " ".join(rng.choices(words, [1 / (i + 9) for i in range(900)], k=n))
+    rows = [(i, text(rng.randint(0, 70))) for i in range(120)] + [(500, None), (None, "w1 w2 w3"), (7, "w1 w1"), (7, "w1 w1"), (501, "once w1 never")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    target = spark.createDataFrame([(text(30),) for _ in range(12)] + [(None,)], "text string")
+    for name, value in {"TOKENS": tokens, "SHARD": shard}.items():
+        monkeypatch.setattr(lm_scoring, name, value)
+    for background in (None, spark.createDataFrame([(text(40),) for _ in range(60)], "text string")):
+        whole = docs if background is None else background
+        units, total = lm_scoring.learn_vocabulary(whole, 600)
+        assert lm_scoring.FREQUENT + 50 < units.known.keys.size <= 600 and total > 2_000
+        texts = target.select(F.lit("target").alias("g"), "text").union(whole.select(F.lit("background").alias("g"), "text"))
+        model = estimate(count_ngrams(texts, units, 2), 2, units)
+        got = {}
+        for r in score(docs, target, background, vocabulary=600).collect():
+            got.setdefault(r.doc_id, []).append(r)
+        assert sum(map(len, got.values())) == len(rows) and len(got[7]) == 3
+        assert {r.doc_id for r in got[7]} == {7} and got[500][0].score is None
+        for i, t in rows:
+            raw = np.frombuffer((t or "").encode(), np.uint8)
+            sums = model.score(*units.symbols(raw, np.array([0, raw.size])))[0]
+            n = len((t or "").split())
+            mine = [r for r in got[i] if r.n_tokens == n and (n == 0 or r.background_loss == pytest.approx(-sums[0] / n, rel=1e-4))]
+            assert mine
+            if n:
+                assert mine[0].target_loss == pytest.approx(-sums[1] / n, rel=1e-4)
+                assert mine[0].score == pytest.approx((sums[0] - sums[1]) / n, abs=1e-3)
+
+
+def test_every_pair_of_a_corpus_is_counted(spark):
+    """No pair is left out: twice the corpus, twice the pairs in the models."""
+    from ledgerline.llm.lm_scoring import _dealt_pairs, _models, _statistics, learn_vocabulary
+
+    def pairs(n):
+        rows = [(i, 1, 3, " ".join(f"w{(i * 37 + k * k) % 5000}" for k in range(60))) for i in range(n)]
+        texts = spark.createDataFrame(rows, "id bigint, doc_id bigint, role bigint, text string").union(spark.createDataFrame([(-1, None, 4, "w1 w2 w1")], "id bigint, doc_id bigint, role bigint, text string"))
+        units, _ = learn_vocabulary(texts, 10**6)
+        shards = _dealt_pairs(texts, units, 3).repartition(3, "shard").sortWithinPartitions("shard")
+        assert _models(_statistics(shards), units) is not None
+        return _statistics(shards).filter("what = 0 and word < 4").agg(F.sum("v")).first()[0], units.known.keys.size
+
+    (few, words), (many, more) = pairs(60), pairs(120)
+    assert few > 3_000 and many > 1.8 * few and more > words
+
+
 def test_word_model_equals_the_textbook(spark):
     rng = random.Random(9)
     texts = [" ".join(rng.choices(["a", "b", "c", "d"], [6, 3, 2, 1], k=rng.randint(1, 30))) for _ in range(15)]

@@ -18,7 +18,7 @@ stay; the query and the pipeline compare every line with a word (``LEAST_WORDS``
 A shard holds a bounded number of entries; a fuller one is split into blocks, and each
 pair of blocks meets once. A later line is first checked against the one candidate most
 like it, by bitmap; if that is no match, against the ``FIRST`` most alike for each shared
-word, then against the ``LISTED`` most alike; and if it had more than these and still has
+word, then against the ``LISTED`` most alike, if these are more; and if it had more than these and still has
 no match, its prefix is looked up among all lines once more and all candidates are
 listed. So a family of near copies doesn't list all its pairs, and no match is lost.
 
@@ -45,7 +45,7 @@ COUNTERS = 2**20
 #: Entries of a shard of prefix words that a task holds at once, and the aim for a shard.
 SHARD, AIM = 400_000, 100_000
 #: Candidates of a line that are verified after the best, and that are listed, for each prefix word.
-FIRST, LISTED = 2, 32
+FIRST, LISTED = 3, 3
 #: Lines whose candidates are listed in full in one pass; more take several passes.
 PASS = 100_000
 #: Up to so many ids are broadcast (8 bytes each); beyond that all texts are looked at.
@@ -456,7 +456,7 @@ def find(docs: DataFrame, threshold: float = 0.8, least_words: int = 5, first_on
     best = pairs.filter("place = 0").groupBy("doc", "line").agg(F.min(F.struct("apart", "other_doc", "other_line")).alias("best"))
     tried = stored(best.select("doc", "line", "best.other_doc", "best.other_line"))
     matches = stored(verified(docs, tried, threshold, least_words))
-    for most_of_word in (first_ones, listed):
+    for most_of_word in sorted({min(first_ones, listed), listed}):
         some = pairs.filter(F.col("place") < most_of_word).select(*KEYS)
         left = materialise(_unmatched(tried, matches))
         n = left.count()

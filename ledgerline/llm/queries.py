@@ -11,7 +11,7 @@ from ledgerline.llm.mixing import OP9_SQL, op9_mixing
 from ledgerline.llm.quality_classifier import op1_quality_classifier
 from ledgerline.llm.quality_rules import op7_quality_rules
 from ledgerline.llm.simhash import op4_simhash
-from ledgerline.llm.suffix_dedup import op12_suffix_dedup
+from ledgerline.llm.suffix_dedup import OP12_SQL, op12_suffix_dedup
 from ledgerline.llm.toxicity import op3_toxicity
 from ledgerline.llm.warc import OP10_SQL, op10_warc
 from ledgerline.llm.whitening import op11_embedding_whitening
@@ -33,4 +33,4 @@ QUERIES = {
 }
 
 #: The other operators learn models or hash words in ways that SQL here does not have.
-ORACLE_SQL = {"op9_mixing": OP9_SQL, "op10_warc": OP10_SQL, "op13_hard_negatives": OP13_SQL}
+ORACLE_SQL = {"op9_mixing": OP9_SQL, "op10_warc": OP10_SQL, "op12_suffix_dedup": OP12_SQL, "op13_hard_negatives": OP13_SQL}

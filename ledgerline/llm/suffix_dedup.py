@@ -568,6 +568,25 @@ def removed(found: DataFrame, keep: list[str], text: bool = False) -> DataFrame:
     return made if text else made.drop("kept")
 
 
+#: For tables whose doc_id is unique and not null.
+OP12_SQL = """
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, hex(coalesce(text, '')) AS h, CAST(length(hex(coalesce(text, ''))) // 2 AS BIGINT) AS n, row_number() OVER () AS r FROM documents),
+starts AS (SELECT r, doc_id, p, substr(h, 2 * p + 1, 200) AS s FROM (SELECT r, doc_id, h, unnest(range(n - 99)) AS p FROM docs)),
+later AS (SELECT r, p FROM starts QUALIFY rank() OVER (PARTITION BY s ORDER BY doc_id, p) > 1),
+marks AS (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 100 THEN 0 ELSE 1 END AS fresh FROM later),
+runs AS (SELECT r, p, sum(fresh) OVER (PARTITION BY r ORDER BY p) AS g FROM marks),
+spans AS (SELECT r, g, min(p) AS a, max(p) + 100 AS b FROM runs GROUP BY r, g),
+cuts AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+kept AS (
+  SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS stop, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM cuts JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(stop, 0) + 1))) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What goes of every document, and a digest of what stays."""
     return removed(find_repeats(read(spark, sf_dir, "documents", "doc_id", "text")), ["doc_id"])

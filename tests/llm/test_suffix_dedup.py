@@ -103,6 +103,13 @@ def test_kept_bytes_of_the_given_tables(spark):
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in rows)
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_equal_to_sql(spark, duck, sf):
+    got = suffix_dedup.op12_suffix_dedup(spark, f"/root/testdata/{sf}")
+    columns, want = duck(suffix_dedup.OP12_SQL, f"/root/testdata/{sf}")
+    assert got.columns == columns and sorted(map(tuple, got.collect())) == sorted(want)
+
+
 @pytest.mark.parametrize("collide", [False, True])
 def test_suffix_sort_orders_by_bytes(monkeypatch, collide):
     """Also with hashes that collide: equal neighbours are only those with equal bytes."""

@@ -26,7 +26,9 @@ LIMIT = 2**51
 def require_ansi() -> None:
     """Refuses to go on without ANSI mode, in which an overflow gives a wrong number."""
     session = SparkSession.getActiveSession()
-    if session is not None and session.conf.get("spark.sql.ansi.enabled") != "true":
+    if session is None:
+        raise ValueError("there is no active Spark session whose spark.sql.ansi.enabled could be looked at")
+    if session.conf.get("spark.sql.ansi.enabled") != "true":
         raise ValueError("set spark.sql.ansi.enabled to true: without it an overflow would go unnoticed")
 
 

@@ -4,7 +4,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.functions import exact_sum, hundredths
+from ledgerline.functions import exact_sum, hundredths, money
 from ledgerline.plans import price_summary
 
 
@@ -49,6 +49,12 @@ def test_exact_sum_at_the_ends_of_its_scale(spark, scale):
     assert frame.agg(exact_sum(F.col("units"), scale)).collect()[0][0] == float(Fraction(sum(units), 10**scale))
 
 
+def test_ansi_mode_is_not_taken_for_granted_without_a_session(monkeypatch):
+    monkeypatch.setattr(money.SparkSession, "getActiveSession", lambda: None)
+    with pytest.raises(ValueError, match="session"):
+        money.require_ansi()
+
+
 def test_exact_sum_needs_ansi_mode(spark):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:

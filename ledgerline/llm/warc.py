@@ -162,10 +162,11 @@ def members(read: Read, size: int) -> Iterator[tuple[str, int, int, int, int]]:
         while len(extra) >= 4:
             tag, width = struct.unpack_from("<2H", extra)
             if tag == 1:  # ZIP64: only the fields that don't fit, in this order
-                values = iter(struct.unpack_from(f"<{width // 8}Q", extra, 4))
-                plain = next(values) if plain == 0xFFFFFFFF else plain
-                packed = next(values) if packed == 0xFFFFFFFF else packed
-                local = next(values) if local == 0xFFFFFFFF else local
+                needed = (plain, packed, local).count(0xFFFFFFFF)
+                if width > len(extra) - 4 or width < 8 * needed:
+                    raise ValueError(f"the ZIP64 field of {name} is cut off")
+                values = iter(struct.unpack_from(f"<{needed}Q", extra, 4))
+                plain, packed, local = (next(values) if v == 0xFFFFFFFF else v for v in (plain, packed, local))
             extra = extra[4 + width :]
         if flags & 1:
             raise ValueError(f"{name} is encrypted")

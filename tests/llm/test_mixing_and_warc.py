@@ -1,6 +1,7 @@
 import hashlib
 import io
 import random
+import struct
 import zipfile
 
 import pytest
@@ -193,6 +194,16 @@ def test_broken_archives_are_refused():
         list(warc.places(*reader(out.getvalue())))
 
 
+@pytest.mark.parametrize("extra", [b"\1\0\4\0abcd", b"\1\0\x10\0abcd", b"\1\0\x08\0" + b"\0" * 8])
+def test_cut_off_zip64_fields_are_refused(extra):
+    name = b"archive/a.warc"
+    local = b"PK\3\4" + struct.pack("<5H3L2H", 45, 0, 0, 0, 0, 0, 0, 0, len(name), 0) + name
+    central = b"PK\1\2" + struct.pack("<6H3L5H2L", 45, 45, 0, 0, 0, 0, 0, 2**32 - 1, 2**32 - 1, len(name), len(extra), 0, 0, 0, 0, 0) + name + extra
+    data = local + central + b"PK\5\6" + struct.pack("<4H2LH", 0, 0, 1, 1, len(central), len(local), 0)
+    with pytest.raises(ValueError, match="ZIP64"):
+        list(warc.places(*reader(data)))
+
+
 def test_pages_survive_the_round_trip(spark):
     same, short = "<p>same</p>" * 20, "<p>short</p>"
     rows = [(5, "u5", same), (3, "u\r\n3", same), (9, None, same), (1, "u1", short), (2, "u2", short), (4, "u4", None), (6, "u6", ""), (7, "ü?x=1 2", "日本" * 60), (8, "u8", "日本" * 60), (None, "n", same), (None, "n", "y" * 200), (None, "n", "y" * 200), (10, "u10", "z\r\n\r\n" * 200_000), (3, "u3", same)]

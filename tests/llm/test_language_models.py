@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm.language_id import identify, op5_language_id
-from ledgerline.llm import lm_scoring
+from ledgerline.llm import common, lm_scoring, quality_classifier
 from ledgerline.llm.lm_scoring import score, word_counts
 from ledgerline.llm.ngram import Characters, Vocabulary, codes, count_ngrams, estimate, learn_characters
 from ledgerline.llm.quality_classifier import SLACK_HIGH, SLACK_LOW, fit, keep_good
@@ -316,3 +316,38 @@ def test_texts_are_scored_alike_in_any_company(spark):
         one = np.frombuffer(t.encode(), np.uint8)
         assert model.score(*units.symbols(one, np.array([0, one.size])))[0, 0] == pytest.approx(together[k, 0], abs=1e-4)
     assert together[0, 0] == together[3, 0] and isinstance(units, Characters) and defaultdict
+
+
+def counted(monkeypatch):
+    """What ``quality_classifier`` counts from now on: a list of (g, text) tables."""
+    seen = []
+    monkeypatch.setattr(quality_classifier, "count_ngrams", lambda df, *rest: (seen.append(df), count_ngrams(df, *rest))[1])
+    return seen
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_quality_counts_every_trusted_text(spark, monkeypatch, broadcast):
+    """More trusted texts than any sample had, with ids sent to all tasks or shuffled."""
+    monkeypatch.setattr(common, "BROADCAST_IDS", broadcast)
+    docs = spark.range(20_000).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang")
+    docs = docs.union(spark.createDataFrame([(7, "again", "en"), (None, "nobody", "en"), (8, None, "en")], "doc_id bigint, text string, lang string"))
+    trusted = spark.range(16_000).selectExpr("id as doc_id").union(spark.createDataFrame([(7,), (None,)], "doc_id bigint"))
+    seen = counted(monkeypatch)
+    model = fit(docs, trusted, order=2)
+    held = {r.doc_id for r in model.held.collect()}
+    want = [f"text {i}" for i in range(16_000) if i not in held] + ["again"] * (7 not in held)
+    assert 12_000 < len(want) and sorted(r.text for r in seen[0].collect()) == sorted(want)
+
+
+def test_lower_orders_are_pruned_if_they_are_too_many(spark):
+    """The table stays bounded whatever is counted, and probabilities never add up to more than one."""
+    rng = random.Random(3)
+    df = spark.createDataFrame([("", "".join(rng.choices("abcdefgh", range(1, 9), k=3000)))], "g string, text string")
+    units = learn_characters(df)
+    model = estimate(count_ngrams(df, units, 3), 3, units, most=50)
+    assert sum(g[1].shape[0] for g in model.grams) <= 50
+    assert sum(b[1].shape[0] for b in model.backs) <= 50 + 3
+    symbols = np.arange(1, units.size + 1)
+    assert 0 < np.exp(model.log_p(symbols)).sum() <= 1 + 1e-4
+    ones = spark.createDataFrame([("", 2 << units.bits | 3, 5000), ("", 3 << units.bits | 2, 1500)], "g string, code bigint, c bigint")
+    assert [estimate(ones, 2, units, most=m).grams[1][1].shape[0] for m in (4, 3, 2)] == [2, 1, 0]

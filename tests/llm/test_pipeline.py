@@ -87,3 +87,16 @@ def test_all_queries_are_registered(spark):
     assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert {*contract.oracle_sql()} <= {*names}
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() > 50
+
+
+def test_first_stage_counts_every_trusted_text(spark, tmp_path, monkeypatch):
+    """More trusted texts than the sample that hashes once chose."""
+    n = 16_000
+    rows = spark.range(n).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "'a' as source", "0L as n_chars")
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    seen, own = [], quality_classifier.count_ngrams
+    monkeypatch.setattr(quality_classifier, "count_ngrams", lambda df, *rest: (seen.append(df.count()), own(df, *rest))[1])
+    kept = corpus_pipeline.keep_quality(spark, rows, str(tmp_path)).count()
+    held = labels.filter(F.pmod(F.xxhash64(F.lit(31), "doc_id"), F.lit(quality_classifier.HELD)) == 0).count()
+    assert seen == [n - held] and n - held > 12_000 and kept > 0.9 * n

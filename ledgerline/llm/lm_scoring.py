@@ -2,8 +2,8 @@
 
 Both are interpolated modified Kneser-Ney bigram models over one vocabulary: the words of
 the background down to a count with which at most ``vocabulary`` remain; every other word
-is the unknown symbol. The background is every text of the corpus, the target is a
-bounded sample of target texts. A text's score is the mean over its words of the target
+is the unknown symbol. The background is every text of the corpus, the target is every
+target text, which may be any number of the corpus' own. A text's score is the mean over its words of the target
 loss minus the background loss; texts like the target score below zero.
 
 Nothing but the vocabulary is bounded: all word pairs of all texts are counted, and none
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import LOWER, Words, first_by_hash, give_back, materialise, mix, pack_columns, read, text_chunks, unpack_columns
+from ledgerline.llm.common import LOWER, Words, give_back, join_ids, materialise, mix, pack_columns, read, text_chunks, unpack_columns
 from ledgerline.llm.ngram import HELD, Vocabulary, _discounts, _merge, codes, runs
 
 BITS = Vocabulary.bits
@@ -342,13 +342,18 @@ def _losses(shards: DataFrame, made: tuple[Models, np.ndarray, np.ndarray] | Non
 def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = None, vocabulary: int = 1_000_000) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) of each row of ``docs``.
 
-    ``target`` must be bounded (it has a text column); ``background`` is ``docs`` if not
-    given. The vocabulary has at most ``vocabulary`` words (of 2**21); all else grows
-    with the texts.
+    ``target`` has a text column, or a doc_id column for the rows of ``docs`` with these
+    ids; ``background`` is ``docs`` if not given. The vocabulary has at most
+    ``vocabulary`` words (of 2**21); all else grows with the texts.
     """
     units, total = learn_vocabulary(docs if background is None else background, vocabulary)
     both = SCORED | (BACKGROUND if background is None else 0)
-    texts = docs.select(F.monotonically_increasing_id().alias("id"), F.col("doc_id").cast("bigint"), F.lit(both).cast("bigint").alias("role"), "text")
+    role = F.lit(both)
+    if "text" not in target.columns:  # a row's pairs are sent once, with all its roles
+        ids = target.select("doc_id").filter("doc_id is not null").distinct().withColumn("role", F.lit(TARGET))
+        docs, target = join_ids(docs.select("doc_id", "text"), ids, "left"), None
+        role = role.bitwiseOR(F.coalesce("role", F.lit(0)))
+    texts = docs.select(F.monotonically_increasing_id().alias("id"), F.col("doc_id").cast("bigint"), role.cast("bigint").alias("role"), "text")
     for others, role in ((target, TARGET), (background, BACKGROUND)):
         if others is not None:
             texts = texts.union(others.select(F.lit(-1).cast("bigint"), F.lit(None).cast("bigint"), F.lit(role).cast("bigint"), "text"))
@@ -359,14 +364,8 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame | None = Non
     return sums.select("doc_id", "n_tokens", t.alias("target_loss"), b.alias("background_loss"), (t - b).alias("score"))
 
 
-def target_sample(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
-    """Texts of at most ``most`` documents of ``ids``, chosen by hash."""
-    chosen = materialise(first_by_hash(ids.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", most))
-    return docs.join(F.broadcast(chosen), "doc_id", "left_semi").select("text")  # bounded by ``most``
-
-
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's cross-entropy difference; the target are documents labelled good."""
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     good = read(spark, sf_dir, "labels", "doc_id", "quality").filter("quality = 1")
-    return score(docs, target_sample(docs, good, 20_000))
+    return score(docs, good.select("doc_id"))

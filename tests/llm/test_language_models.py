@@ -351,3 +351,28 @@ def test_lower_orders_are_pruned_if_they_are_too_many(spark):
     assert 0 < np.exp(model.log_p(symbols)).sum() <= 1 + 1e-4
     ones = spark.createDataFrame([("", 2 << units.bits | 3, 5000), ("", 3 << units.bits | 2, 1500)], "g string, code bigint, c bigint")
     assert [estimate(ones, 2, units, most=m).grams[1][1].shape[0] for m in (4, 3, 2)] == [2, 1, 0]
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_target_may_be_rows_of_the_corpus(spark, monkeypatch, broadcast):
+    """Every row with a target's id is one, and the scores are those of the same texts given apart."""
+    monkeypatch.setattr(common, "BROADCAST_IDS", broadcast)
+    rng = random.Random(4)
+    text = lambda: " ".join(rng.choices([f"w{i}" for i in range(400)], [1 / (i + 3) for i in range(400)], k=rng.randint(0, 30)))
+    docs = spark.createDataFrame([(i, text()) for i in range(200)] + [(3, text()), (None, text()), (4, None)], "doc_id bigint, text string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in range(0, 150, 3)] + [(3,), (None,), (999,)], "doc_id bigint")
+    values = lambda t: sorted(str((r.doc_id, r.n_tokens, *(x and round(x, 4) for x in (r.target_loss, r.background_loss)))) for r in score(docs, t).collect())
+    assert values(ids) == values(docs.join(ids.distinct(), "doc_id", "left_semi").select("text"))
+    assert {r.score for r in score(docs, ids.limit(0)).collect()} == {None}
+
+
+def test_op6_takes_every_text_labelled_good(spark, monkeypatch, tmp_path):
+    """More good texts than any sample had: all their pairs are the target's."""
+    n = 24_000
+    spark.range(n).selectExpr("id as doc_id", "concat('a', id % 7, ' b') as text").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(n).selectExpr("id as doc_id", "cast(id % 12 <> 0 as int) as quality").write.parquet(f"{tmp_path}/labels.parquet")
+    models, own = [], lm_scoring._models
+    monkeypatch.setattr(lm_scoring, "_models", lambda *args: (models.append(own(*args)), models[-1])[1])
+    assert lm_scoring.op6_lm_scoring(spark, str(tmp_path)).count() == n
+    firsts = models[0][0].firsts
+    assert firsts[0, 0].sum() == 2 * n and firsts[1, 0].sum() == 2 * n * 11 // 12

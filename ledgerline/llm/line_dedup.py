@@ -18,9 +18,11 @@ stay; the query and the pipeline compare every line with a word (``LEAST_WORDS``
 A shard holds a bounded number of entries; a fuller one is split into blocks, and each
 pair of blocks meets once. A later line is first checked against the one candidate most
 like it, by bitmap; if that is no match, against the ``FIRST`` most alike for each shared
-word, then against the ``LISTED`` most alike, if these are more; and if it had more than these and still has
-no match, its prefix is looked up among all lines once more and all candidates are
-listed. So a family of near copies doesn't list all its pairs, and no match is lost.
+word, then against the ``LISTED`` most alike, if these are more. The words of all listed
+lines are read from the texts once, with a wider bitmap that rules out most pairs before words move. A line that had more candidates than these and still
+has no match is searched for: it is sent to the tasks with its words, and they read all
+texts and check all its candidates where they are found, so that no candidates move. So a
+family of near copies doesn't list all its pairs, and no match is lost.
 
 Defined results: null and empty texts have no lines. A row without doc_id is left
 alone. doc_id stands for a text: rows that repeat it have no order among each other.
@@ -33,21 +35,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import BREAKS, LOWER, Words, materialise, mix, ranges, read, stored, text_chunks
+from ledgerline.llm.common import BREAKS, LOWER, Words, give_back, materialise, mix, pack_columns, per_text, ranges, read, stored, text_chunks, unpack_columns
 from ledgerline.llm.ngram import runs
 
 #: Distinct words of a line that the query and the pipeline compare: any line but those without a word.
 LEAST_WORDS = 1
-COUNTERS = 2**20
+#: Counters of words, and how many of them are packed into one value.
+COUNTERS, PACKED = 2**20, 2**14
 #: Entries of a shard of prefix words that a task holds at once, and the aim for a shard.
 SHARD, AIM = 400_000, 100_000
 #: Candidates of a line that are verified after the best, and that are listed, for each prefix word.
 FIRST, LISTED = 3, 3
-#: Lines whose candidates are listed in full in one pass; more take several passes.
-PASS = 100_000
+#: About how many words the lines have that are searched for in one pass; more take several passes.
+PASS_WORDS = 4_000_000
+#: Pairs that are looked at together in a search, and 64-bit numbers of the wide bitmap that rules most of them out.
+BLOCK, WIDE = 250_000, 4
 #: Up to so many ids are broadcast (8 bytes each); beyond that all texts are looked at.
 BROADCAST_IDS = 1_000_000
 #: Bits of the filter that tells which lines are to be verified.
@@ -72,12 +77,12 @@ class Lines:
         # Lines in reading order: a text with k line feeds has k + 1.
         before = np.searchsorted(breaks, offsets)
         text = np.repeat(np.arange(words.per_text.size), words.per_text)
-        number = np.searchsorted(breaks, words.start) - before[text]
+        number = np.repeat(np.arange(breaks.size + 1), np.diff(np.concatenate(([0], np.searchsorted(words.start, breaks), [len(words)])))) - before[text]
         first = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(number) != 0)))) if text.size else np.zeros(0, np.int64)
         line = np.repeat(np.arange(first.size), np.diff(np.append(first, text.size)))
         hashes = words.hashes(LOWER)
         order = _by_line(line, hashes >> np.uint64(24), 40)
-        hashes, line = hashes[order], line[order]
+        hashes = hashes[order]  # the order by line is as it was
         new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))) if line.size else np.zeros(0, bool)
         hashes, line = hashes[new], line[new]
         n = np.bincount(line, minlength=first.size)
@@ -112,7 +117,7 @@ def survey(docs: DataFrame, least_words: int) -> tuple[DataFrame, np.ndarray, in
         for batch in batches:
             for first, last, raw, offsets in text_chunks(batch):
                 lines = Lines(raw, offsets, least_words)
-                total += np.bincount((lines.word % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+                np.add.at(total, (lines.word % np.uint64(COUNTERS)).astype(np.int64), 1)
                 doc, sets = _column(batch, "doc_id", first, last)[lines.text], lines.sets()
                 order = np.lexsort((lines.number, sets, lines.text))
                 new = np.concatenate(([True], (np.diff(sets[order]) != 0) | (np.diff(lines.text[order]) != 0))) if order.size else np.zeros(0, bool)
@@ -123,19 +128,28 @@ def survey(docs: DataFrame, least_words: int) -> tuple[DataFrame, np.ndarray, in
                 for k in np.flatnonzero(size > 1):
                     copies[k] = number[cuts[k] + 1 : cuts[k + 1]].tolist()
                 yield _surveyed(set=sets[head].view(np.int64), doc=doc[head], line=lines.number[head], copies=pa.array(copies, pa.list_(pa.int32())))
-        at = np.flatnonzero(total)
-        yield _surveyed(at=at, c=total[at])
+        if total.any():
+            yield _surveyed(at=np.arange(COUNTERS // PACKED), c=[pack_columns(part) for part in total.reshape(-1, PACKED)])
 
-    table = stored(docs.select("doc_id", "text").mapInArrow(find, "set bigint, doc bigint, line int, copies array<int>, at bigint, c bigint"))
-    counts = table.filter("at is not null").groupBy("at").agg(F.sum("c").alias("c")).toArrow()  # COUNTERS rows at most
-    out = np.zeros(COUNTERS, np.int64)
-    out[counts.column("at").to_numpy()] = counts.column("c").to_numpy()
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, blob in zip(batch.column("at").to_pylist(), batch.column("c").to_pylist(), strict=True):
+                sums[at] = sums.get(at, 0) + unpack_columns(blob, 1)[0]
+        yield pa.RecordBatch.from_arrays([pa.array([*sums], pa.int64()), pa.array([pack_columns(x) for x in sums.values()], pa.binary())], ["at", "c"])
+
+    table = stored(docs.select("doc_id", "text").mapInArrow(find, "set bigint, doc bigint, line int, copies array<int>, at bigint, c binary"))
+    counts = table.filter("at is not null").select("at", "c").repartition("at").mapInArrow(add, "at bigint, c binary").toArrow()  # a row for each PACKED counters
+    out = np.zeros((COUNTERS // PACKED, PACKED), np.int64)
+    for at, blob in zip(counts.column("at").to_pylist(), counts.column("c").to_pylist(), strict=True):
+        out[at] = unpack_columns(blob, 1)[0]
+    out = out.ravel()
     # Twelve bits for each: rarity on a logarithmic scale.
     rarity = np.minimum(4095, np.log2(out + 1.0) * 64).astype(np.uint16)
     return table.filter("at is null").select("set", "doc", "line", "copies"), rarity, int(out.sum())
 
 
-_SURVEY = pa.schema([("set", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("copies", pa.list_(pa.int32())), ("at", pa.int64()), ("c", pa.int64())])
+_SURVEY = pa.schema([("set", pa.int64()), ("doc", pa.int64()), ("line", pa.int32()), ("copies", pa.list_(pa.int32())), ("at", pa.int64()), ("c", pa.binary())])
 
 
 def _surveyed(**columns) -> pa.RecordBatch:
@@ -176,13 +190,25 @@ def _earlier(sets: np.ndarray, doc: np.ndarray, number: np.ndarray, heads: np.nd
     return heads[first], seen
 
 
-def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_words: int, only: np.ndarray | None = None, words: np.ndarray | None = None) -> DataFrame:
-    """(shard, entries): prefix words of all sets, packed, by the shard of the word; only
-    those of the lines with the keys ``only``, or of the half hashes ``words``, if given."""
-    sent = docs.sparkSession.sparkContext.broadcast((rarity, only, words))
+def _prefix(word: np.ndarray, line: np.ndarray, begin: np.ndarray, n: np.ndarray, chosen: np.ndarray, rarity: np.ndarray, t: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rarest words of the ``chosen`` lines that can match another set: half the hash
+    of the word, the line and the word's place among the line's words by rarity."""
+    # A set of n words can match another if it can match one of n + 1 that has them all.
+    chosen = chosen & (n >= t * (n + 1) - 1e-9)
+    # Words of each line by rarity, then by hash.
+    rank = rarity[(word % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64)
+    rare = _by_line(line, rank << np.uint64(32) | word >> np.uint64(32), 44)
+    pos = np.arange(rare.size) - np.repeat(begin, n)
+    pick = chosen[line] & (pos < (n - _needed(n, t) + 1)[line])
+    return (word[rare[pick]] >> np.uint64(32)).astype(np.uint32), line[pick], pos[pick]
+
+
+def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_words: int) -> DataFrame:
+    """(shard, entries): prefix words of all sets, packed, by the shard of the word."""
+    sent = docs.sparkSession.sparkContext.broadcast(rarity)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (rarity, only, words), held, size, seen = sent.value, [], 0, np.zeros(0, SEEN)
+        rarity, held, size, seen = sent.value, [], 0, np.zeros(0, SEEN)
 
         def flush() -> pa.RecordBatch:
             shard, rows = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -198,34 +224,19 @@ def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_w
                 if not lines.n.size:
                     continue
                 sets, doc = lines.sets(), _column(batch, "doc_id", first, last)[lines.text]
-                if only is None:
-                    # A set's first line in this task so far speaks for the others. Rows come in any
-                    # order, so a set is sent again when an earlier line of it turns up.
-                    order = np.lexsort((lines.number, doc, sets))
-                    heads = order[np.concatenate(([True], np.diff(sets[order]) != 0))]
-                    heads, seen = _earlier(sets, doc, lines.number, heads, seen)
-                else:
-                    heads = np.flatnonzero(np.isin(line_key(doc, lines.number), only))
+                # A set's first line in this task so far speaks for the others. Rows come in any
+                # order, so a set is sent again when an earlier line of it turns up.
+                order = np.lexsort((lines.number, doc, sets))
+                heads = order[np.concatenate(([True], np.diff(sets[order]) != 0))]
+                heads, seen = _earlier(sets, doc, lines.number, heads, seen)
                 chosen = np.zeros(lines.n.size, bool)
-                # A set of n words can match another if it can match one of n + 1 that has them all.
-                chosen[heads] = lines.n[heads] >= t * (lines.n[heads] + 1) - 1e-9
+                chosen[heads] = True
                 bit = np.uint64(1) << (mix(lines.word) >> np.uint64(58))
                 bitmap = np.bitwise_xor.reduceat(bit, lines.begin)
-                # Words of each line by rarity, then by hash.
-                rank = rarity[(lines.word % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64)
-                rare = _by_line(lines.line, rank << np.uint64(32) | lines.word >> np.uint64(32), 44)
-                pos = np.arange(rare.size) - np.repeat(lines.begin, lines.n)
-                pick = chosen[lines.line] & (pos < (lines.n - _needed(lines.n, t) + 1)[lines.line])
-                word = lines.word[rare][pick]
-                half = (word >> np.uint64(32)).astype(np.uint32)
-                if words is not None:
-                    wanted = words[np.minimum(np.searchsorted(words, half), words.size - 1)] == half
-                    pick[np.flatnonzero(pick)[~wanted]] = False
-                    word, half = word[wanted], half[wanted]
-                at = lines.line[pick]
+                half, at, pos = _prefix(lines.word, lines.line, lines.begin, lines.n, chosen, rarity, t)
                 rows = np.zeros(at.size, ENTRY)
                 rows["word"], rows["set"], rows["bitmap"], rows["doc"] = half, (sets[at] >> np.uint64(32)).astype(np.uint32), bitmap[at], doc[at]
-                rows["line"], rows["n"], rows["pos"] = lines.number[at], lines.n[at], pos[pick]
+                rows["line"], rows["n"], rows["pos"] = lines.number[at], lines.n[at], pos
                 held.append(((half % np.uint32(shards)).astype(np.int64), rows))
                 size += rows.size
                 if size > 200_000:
@@ -237,18 +248,31 @@ def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_w
     return docs.select("doc_id", "text").mapInArrow(make, "shard bigint, entries binary")
 
 
-def pairs_of(rows: np.ndarray, t: float, only: np.ndarray | None, apart: np.ndarray | None = None, listed: int = LISTED) -> Iterator[np.ndarray]:
+def _by_set(rows: np.ndarray) -> np.ndarray:
+    """The order by word, set, doc and line; only entries of one word and set are compared by the latter."""
+    key = rows["word"].astype(np.uint64) << np.uint64(32) | rows["set"]
+    order = np.argsort(key)
+    if not order.size:
+        return order
+    key = key[order]
+    equal = np.concatenate(([False], key[1:] == key[:-1]))
+    equal[:-1] |= equal[1:]
+    some = order[equal]
+    order[equal] = some[np.lexsort((rows["line"][some], rows["doc"][some], key[equal]))]
+    return order
+
+
+def pairs_of(rows: np.ndarray, t: float, apart: np.ndarray | None = None, listed: int = LISTED) -> Iterator[np.ndarray]:
     """Candidates among entries: later and earlier line, the place of the pair among the
     later line's, and whether there were more than the ``listed`` ones that are given.
 
-    ``only`` are keys of later lines of which all candidates are wanted, and of no
-    others. ``apart`` numbers blocks; only entries of different ones are then paired.
+    ``apart`` numbers blocks; only entries of different ones are then paired.
     """
-    order = np.lexsort((rows["line"], rows["doc"], rows["set"], rows["word"]))
+    order = _by_set(rows)
     same = np.concatenate(([False], np.logical_and.reduce([rows[c][order][1:] == rows[c][order][:-1] for c in ("word", "set", "bitmap", "n")]))) if order.size else np.zeros(0, bool)
     order = order[~same]
     rows, apart = rows[order], None if apart is None else apart[order]
-    by = np.lexsort((rows["n"], rows["word"]))
+    by = np.argsort(rows["word"].astype(np.uint64) << np.uint64(32) | rows["n"], kind="stable")
     rows, apart = rows[by], None if apart is None else apart[by]
     if not rows.size:
         return
@@ -274,18 +298,14 @@ def pairs_of(rows: np.ndarray, t: float, only: np.ndarray | None, apart: np.ndar
         i, j, apart_by = i[ok], j[ok], apart_by[ok]
         swap = (rows["doc"][i] > rows["doc"][j]) | ((rows["doc"][i] == rows["doc"][j]) & (rows["line"][i] > rows["line"][j]))
         later, earlier = np.where(swap, i, j), np.where(swap, j, i)
-        if only is not None:
-            wanted = np.isin(line_key(rows["doc"][later], rows["line"][later]), only)
-            later, earlier, apart_by = later[wanted], earlier[wanted], apart_by[wanted]
         # The most alike first; of these the earliest.
         order = np.lexsort((rows["line"][earlier], rows["doc"][earlier], apart_by, later))
         later, earlier, apart_by = later[order], earlier[order], apart_by[order]
         first = np.flatnonzero(np.concatenate(([True], np.diff(later) != 0))) if later.size else later
         size = np.diff(np.append(first, later.size))
         place, more = np.arange(later.size) - np.repeat(first, size), np.repeat(size > listed, size)
-        if only is None:
-            keep = place < listed
-            later, earlier, apart_by, place, more = later[keep], earlier[keep], apart_by[keep], place[keep], more[keep]
+        keep = place < listed
+        later, earlier, apart_by, place, more = later[keep], earlier[keep], apart_by[keep], place[keep], more[keep]
         columns = [rows["doc"][later], rows["line"][later], rows["doc"][earlier], rows["line"][earlier], apart_by.astype(np.int32), place.astype(np.int32), more]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_PAIRS)
         a = b
@@ -295,18 +315,18 @@ def line_key(doc: np.ndarray, line: np.ndarray) -> np.ndarray:
     return mix(mix(doc.astype(np.uint64)) + line.astype(np.uint64))
 
 
-def candidates(entries: DataFrame, t: float, only: np.ndarray | None, listed: int = LISTED, most: int = SHARD) -> DataFrame:
+def candidates(entries: DataFrame, t: float, listed: int = LISTED, most: int = SHARD) -> DataFrame:
     """Pairs of lines that share a prefix word and pass the filters. A task holds
     ``most`` entries of a shard at once."""
-    sent = entries.sparkSession.sparkContext.broadcast(only)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, held, size = None, [], 0
 
         def done() -> Iterator[pa.RecordBatch]:
             if held and size <= most:
-                for pairs in pairs_of(np.concatenate(held), t, sent.value, None, listed):
+                for pairs in pairs_of(np.concatenate(held), t, None, listed):
                     yield _with(pairs, None, [None] * pairs.num_rows)
+            give_back()
 
         def deferred() -> pa.RecordBatch:
             blobs = [_packed(h) for h in held]
@@ -337,10 +357,10 @@ def candidates(entries: DataFrame, t: float, only: np.ndarray | None, listed: in
     sizes = full.groupBy("shard").agg(F.sum(F.octet_length("entries") / ENTRY.itemsize).alias("size"))
     if not sizes.limit(1).count():
         return pairs
-    return pairs.union(stored(_between_blocks(full.join(sizes.select("shard", F.ceil(F.col("size") * 2 / most).cast("int").alias("blocks")), "shard"), t, sent, listed)))
+    return pairs.union(stored(_between_blocks(full.join(sizes.select("shard", F.ceil(F.col("size") * 2 / most).cast("int").alias("blocks")), "shard"), t, listed)))
 
 
-def _between_blocks(full: DataFrame, t: float, sent, listed: int) -> DataFrame:
+def _between_blocks(full: DataFrame, t: float, listed: int) -> DataFrame:
     """Pairs of shards that are too large for a task: each entry goes to a block by the
     hash of its set, and each two blocks meet; a block meets itself, too."""
 
@@ -362,7 +382,7 @@ def _between_blocks(full: DataFrame, t: float, sent, listed: int) -> DataFrame:
             if held:
                 rows = np.concatenate(held)
                 apart = np.repeat(own, [h.size for h in held]) if key[1] != key[2] else None
-                yield from pairs_of(rows, t, sent.value, apart, listed)
+                yield from pairs_of(rows, t, apart, listed)
 
         for batch in batches:
             for s, a, b, k, blob in zip(*(batch.column(c).to_pylist() for c in ("shard", "a", "b", "own")), batch.column("entries"), strict=True):
@@ -396,8 +416,8 @@ def _line_filter(lines: DataFrame) -> np.ndarray:
     return out
 
 
-def verified(docs: DataFrame, pairs: DataFrame, t: float, least_words: int) -> DataFrame:
-    """The pairs at a similarity of ``t`` or more, with it."""
+def words_of(docs: DataFrame, pairs: DataFrame, least_words: int) -> DataFrame:
+    """(doc, line, n, wide bitmap, words) of each line in ``pairs``, stored."""
     needed = pairs.select("doc", "line").union(pairs.select("other_doc", "other_line")).distinct()
     ids = materialise(needed.select(F.col("doc").alias("doc_id")).distinct())
     if ids.count() <= BROADCAST_IDS:
@@ -414,27 +434,157 @@ def verified(docs: DataFrame, pairs: DataFrame, t: float, least_words: int) -> D
                 at = line_key(doc, lines.number) % np.uint64(FILTER_BITS)
                 # A few lines more than those needed; the join takes them out.
                 maybe = marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) > 0
-                ends = np.append(0, np.cumsum(lines.n[maybe])).astype(np.int32)
-                words = pa.ListArray.from_arrays(pa.array(ends), pa.array(lines.word[maybe[lines.line]].view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(doc[maybe]), pa.array(lines.number[maybe]), words], ["doc", "line", "words"])
-
-    lines = docs.select("doc_id", "text").mapInArrow(sets, "doc bigint, line int, words array<bigint>")
-    lines = stored(lines.join(needed, ["doc", "line"], "left_semi").dropDuplicates(["doc", "line"]))
-    other = lines.select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("words").alias("other_words"))
+                n, word = lines.n[maybe], lines.word[maybe[lines.line]]
+                ends = np.append(0, np.cumsum(n))
+                words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(word.view(np.int64)))
+                wide = _wide(word, ends[:-1]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(doc[maybe]), pa.array(lines.number[maybe]), pa.array(n.astype(np.int32)), *(pa.array(wide[:, k]) for k in range(WIDE)), words], ["doc", "line", "n", *bits, "words"])
+
+    bits = [f"bits{k}" for k in range(WIDE)]
+    lines = docs.select("doc_id", "text").mapInArrow(sets, "doc bigint, line int, n int, " + "".join(f"{b} bigint, " for b in bits) + "words array<bigint>")
+    # Only rows that repeat a doc_id give a line more than once.
+    repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    return stored(lines.dropDuplicates(["doc", "line"]) if repeated else lines)
+
+
+def possible(pairs: DataFrame, lines: DataFrame, t: float) -> DataFrame:
+    """The pairs that the wide bitmaps of their lines don't rule out."""
+    bits = [f"bits{k}" for k in range(WIDE)]
+    own = lines.select("doc", "line", "n", *bits)
+    other = lines.select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("n").alias("other_n"), *(F.col(b).alias(f"other_{b}") for b in bits))
+    size = F.col("n") + F.col("other_n")
+    apart = sum((F.bit_count(F.col(b).bitwiseXOR(F.col(f"other_{b}"))) for b in bits), F.lit(0))
+    return pairs.join(own, ["doc", "line"]).join(other, ["other_doc", "other_line"]).filter(apart <= size - 2 * F.ceil(t / (1 + t) * size - 1e-9)).select(*pairs.columns)
+
+
+def verified(pairs: DataFrame, lines: DataFrame, t: float) -> DataFrame:
+    """The pairs at a similarity of ``t`` or more, with it; ``lines`` are those of ``words_of``."""
+    asked = pairs.select(F.col("other_doc").alias("doc"), F.col("other_line").alias("line")).distinct()
+    other = lines.join(asked, ["doc", "line"], "left_semi").select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("words").alias("other_words"))
+    lines = lines.select("doc", "line", "words")
     both = pairs.join(lines, ["doc", "line"]).join(other, ["other_doc", "other_line"])
     shared = F.size(F.array_intersect("words", "other_words"))
     return both.withColumn("similarity", shared / (F.size("words") + F.size("other_words") - shared)).filter(F.col("similarity") >= t - 1e-12).select("doc", "line", "other_doc", "other_line", "similarity")
 
 
-def _unmatched(pairs: DataFrame, matches: DataFrame) -> DataFrame:
-    """The later lines (doc, line) of ``pairs`` that have no match."""
-    return pairs.select("doc", "line").distinct().join(matches.select("doc", "line").distinct(), ["doc", "line"], "left_anti")
-
-
-def _half_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for blob in batch.column("entries"):
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_unpacked(blob)["word"]).astype(np.int64))], ["word"])
+def _without(pairs: DataFrame, matches: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose later line has no match."""
+    return pairs.join(matches.select("doc", "line").distinct(), ["doc", "line"], "left_anti")
+
+
+class Asked:
+    """Lines that are searched for, with their words: sorted prefix words, and words numbered
+    so that line and word are one number."""
+
+    def __init__(self, table: pa.Table, rarity: np.ndarray, t: float):
+        self.doc, self.number = table.column("doc").to_numpy(), table.column("line").to_numpy()
+        self.n = table.column("n").to_numpy().astype(np.int64)
+        word = table.column("words").combine_chunks().flatten().to_numpy().view(np.uint64)
+        line, begin = np.repeat(np.arange(self.n.size), self.n), np.cumsum(self.n) - self.n
+        half, at, pos = _prefix(word, line, begin, self.n, np.ones(self.n.size, bool), rarity, t)
+        order = np.argsort(half, kind="stable")
+        self.half, self.at, self.pos = half[order], at[order].astype(np.int32), pos[order].astype(np.int32)
+        self.some = np.zeros(2**22, bool)  # which prefix words there may be, by their upper bits
+        self.some[self.half >> np.uint32(10)] = True
+        self.bitmap = _wide(word, begin)
+        self.known = np.unique(word)
+        self.keys = np.sort(line * self.known.size + np.searchsorted(self.known, word))
+
+    def touched(self, word: np.ndarray) -> np.ndarray:
+        """Which of the words are a prefix word here."""
+        half = (word >> np.uint64(32)).astype(np.uint32)
+        at = np.flatnonzero(self.some[half >> np.uint32(10)])
+        return at[self.half[np.minimum(np.searchsorted(self.half, half[at]), self.half.size - 1)] == half[at]]
+
+    def shared(self, asked: np.ndarray, word: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """How many words each of the lines ``asked`` shares with a line of ``n`` words from ``begin`` on."""
+        some = word[ranges(begin, n)]
+        at = np.minimum(np.searchsorted(self.known, some), self.known.size - 1)
+        key = np.repeat(asked, n) * self.known.size + at
+        both = (self.known[at] == some) & (self.keys[np.minimum(np.searchsorted(self.keys, key), self.keys.size - 1)] == key)
+        return per_text(both, np.append(0, np.cumsum(n)))
+
+
+def _wide(word: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A bitmap of ``WIDE`` numbers of each set, of whose bits each word turns one."""
+    if not begin.size:
+        return np.zeros((0, WIDE), np.uint64)
+    at = mix(word + np.uint64(11))
+    bit, which = np.uint64(1) << (at >> np.uint64(58)), at % np.uint64(WIDE)
+    return np.stack([np.bitwise_xor.reduceat(np.where(which == k, bit, np.uint64(0)), begin) for k in range(WIDE)], axis=1)
+
+
+def searched(docs: DataFrame, lines: DataFrame, rarity: np.ndarray, t: float, least_words: int) -> DataFrame:
+    """For each of ``lines`` (doc, line, words, n; a bounded number) the earliest line of
+    ``docs`` before it that matches it, from each task."""
+    sent = docs.sparkSession.sparkContext.broadcast((Asked(lines.toArrow(), rarity, t), rarity))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, rarity = sent.value
+        best = np.zeros(asked.n.size, [("found", bool), ("doc", "<i8"), ("line", "<i4"), ("similarity", "<f8")])
+        for batch in batches:
+            for first, last, raw, offsets in text_chunks(batch):
+                lines = Lines(raw, offsets, least_words)
+                if not lines.n.size:
+                    continue
+                doc = _column(batch, "doc_id", first, last)[lines.text]
+                for own, other, similarity in _matches(asked, lines, doc, rarity, t):
+                    order = np.lexsort((lines.number[other], doc[other], own))
+                    head = order[np.concatenate(([True], np.diff(own[order]) != 0))] if own.size else order
+                    own, other, similarity, old = own[head], other[head], similarity[head], best[own[head]]
+                    new = ~old["found"] | (doc[other] < old["doc"]) | ((doc[other] == old["doc"]) & (lines.number[other] < old["line"]))
+                    own, other = own[new], other[new]
+                    best["found"][own], best["doc"][own], best["line"][own], best["similarity"][own] = True, doc[other], lines.number[other], similarity[new]
+        at = np.flatnonzero(best["found"])
+        columns = [asked.doc[at], asked.number[at], *(best[c][at] for c in ("doc", "line", "similarity"))]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [*KEYS, "similarity"])
+
+    return docs.select("doc_id", "text").mapInArrow(search, "doc bigint, line int, other_doc bigint, other_line int, similarity double")
+
+
+def _matches(asked: Asked, lines: Lines, doc: np.ndarray, rarity: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Lines that are searched for, earlier ones among ``lines`` that match them, and how similar they are."""
+    # Only lines with such a word are put in order of rarity.
+    few = np.unique(lines.line[asked.touched(lines.word)])
+    n = lines.n[few]
+    begin = np.cumsum(n) - n
+    half, at, pos = _prefix(lines.word[ranges(lines.begin[few], n)], np.repeat(np.arange(few.size), n), begin, n, np.ones(few.size, bool), rarity, t)
+    at = few[at]
+    low = np.searchsorted(asked.half, half)
+    count = np.searchsorted(asked.half, half, side="right") - low
+    met = np.flatnonzero(count)
+    if not met.size:
+        return
+    at, pos, low, count = at[met], pos[met], low[met], count[met]
+    total = np.cumsum(count)
+    a = 0
+    while a < met.size:
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + BLOCK, side="right")))
+        i, j = np.repeat(np.arange(a, b), count[a:b]), ranges(low[a:b], count[a:b])
+        own, other = asked.at[j].astype(np.int64), at[i]
+        n, m = asked.n[own], lines.n[other]
+        need = np.ceil(t / (1 + t) * (n + m) - 1e-9).astype(np.int64)
+        ok = np.minimum(n - asked.pos[j], m - pos[i]) >= need
+        ok &= (doc[other] < asked.doc[own]) | ((doc[other] == asked.doc[own]) & (lines.number[other] < asked.number[own]))
+        # A pair once, however many words of the prefixes it shares.
+        pair = np.unique(own[ok] * lines.n.size + other[ok])
+        own, other = pair // lines.n.size, pair % lines.n.size
+        n, m = asked.n[own], lines.n[other]
+        need = np.ceil(t / (1 + t) * (n + m) - 1e-9).astype(np.int64)
+        near, place = np.unique(other, return_inverse=True)
+        bitmap = _wide(lines.word[ranges(lines.begin[near], lines.n[near])], np.cumsum(lines.n[near]) - lines.n[near])
+        ok = np.bitwise_count(asked.bitmap[own] ^ bitmap[place]).sum(axis=1, dtype=np.int64) <= n + m - 2 * need
+        own, other, n, m = own[ok], other[ok], n[ok], m[ok]
+        total_words = np.cumsum(m)
+        c = 0
+        while c < m.size:
+            d = max(c + 1, int(np.searchsorted(total_words, (total_words[c - 1] if c else 0) + BLOCK, side="right")))
+            shared = asked.shared(own[c:d], lines.word, lines.begin[other[c:d]], m[c:d])
+            similarity = shared / (n[c:d] + m[c:d] - shared)
+            good = similarity >= t - 1e-12
+            yield own[c:d][good], other[c:d][good], similarity[good]
+            c = d
+        a = b
 
 
 def find(docs: DataFrame, threshold: float = 0.8, least_words: int = 5, first_ones: int = FIRST, listed: int = LISTED, most: int = SHARD) -> DataFrame:
@@ -451,32 +601,27 @@ def find(docs: DataFrame, threshold: float = 0.8, least_words: int = 5, first_on
     copies = later.union(within).withColumn("similarity", F.lit(1.0))
     # A set has about a part 1 - threshold of its words in its prefix.
     shards = max(16, int(total * (1 - threshold) * 1.2 / AIM))
-    pairs = candidates(prefixes(docs, rarity, shards, threshold, least_words), threshold, None, listed, most)
+    pairs = candidates(prefixes(docs, rarity, shards, threshold, least_words), threshold, listed, most)
+    lines = words_of(docs, pairs, least_words)
     # One candidate of each line, that most like it; then more of those that have no match.
-    best = pairs.filter("place = 0").groupBy("doc", "line").agg(F.min(F.struct("apart", "other_doc", "other_line")).alias("best"))
-    tried = stored(best.select("doc", "line", "best.other_doc", "best.other_line"))
-    matches = stored(verified(docs, tried, threshold, least_words))
+    one = pairs.groupBy(*KEYS).agg(F.min("place").alias("place"), F.min("apart").alias("apart"))
+    alike = Window.partitionBy("doc", "line").orderBy(F.col("place") > 0, "apart", "other_doc", "other_line")  # a line's listed candidates
+    ranked = one.withColumn("best", F.row_number().over(alike) == 1).select(*KEYS, "place", "best")
+    near = stored(possible(ranked, lines, threshold))
+    matches = stored(verified(near.filter("best").select(*KEYS), lines, threshold))
+    tried = 0
     for most_of_word in sorted({min(first_ones, listed), listed}):
-        some = pairs.filter(F.col("place") < most_of_word).select(*KEYS)
-        left = materialise(_unmatched(tried, matches))
-        n = left.count()
-        some = some.join(F.broadcast(left) if n <= BROADCAST_IDS else left, ["doc", "line"], "left_semi").distinct()
-        rest = stored(some.join(tried, KEYS, "left_anti"))
-        matches = matches.union(stored(verified(docs, rest, threshold, least_words)))
-        tried = tried.union(rest)
+        more = near.filter(~F.col("best") & (F.col("place") >= tried) & (F.col("place") < most_of_word)).select(*KEYS)
+        rest = stored(_without(more, matches))
+        matches = matches.union(stored(verified(rest, lines, threshold)))
+        tried = most_of_word
     # Lines that had more candidates than these: all of them.
-    left = materialise(_unmatched(pairs.filter("more"), matches))
-    passes = -(-left.count() // PASS)
+    left = stored(lines.join(_without(pairs.filter("more").select("doc", "line").distinct(), matches), ["doc", "line"], "left_semi").select("doc", "line", "n", "words"))
+    passes = -(-(left.agg(F.sum("n")).first()[0] or 0) // PASS_WORDS)
     for k in range(passes):
-        part = left.filter(F.pmod(F.xxhash64("doc", "line"), F.lit(passes)) == k)  # about PASS rows
-        table = part.toArrow()
-        only = np.unique(line_key(table.column("doc").to_numpy(), table.column("line").to_numpy()))
-        own = docs.join(F.broadcast(part.select(F.col("doc").alias("doc_id")).distinct()), "doc_id", "left_semi")
-        asked = prefixes(own, rarity, 1, threshold, least_words, only).select("entries").mapInArrow(_half_words, "word bigint").distinct()
-        words = np.sort(asked.toArrow().column("word").to_numpy()).astype(np.uint32)  # the prefixes of PASS lines
-        some = prefixes(docs, rarity, shards, threshold, least_words, None, words)
-        rest = stored(candidates(some, threshold, only, listed, most).select(*KEYS).distinct())
-        matches = matches.union(verified(docs, rest, threshold, least_words))
+        part = left.filter(F.pmod(F.xxhash64("doc", "line"), F.lit(passes)) == k)  # about PASS_WORDS words
+        if part.limit(1).count():
+            matches = matches.union(stored(searched(docs, part, rarity, threshold, least_words)))
     found = copies.union(matches)
     best = F.min(F.struct("other_doc", "other_line", "similarity"))
     out = found.groupBy("doc", "line").agg(best.alias("m"))

@@ -12,7 +12,7 @@ stay; the query and the pipeline compare every line with a word (``LEAST_WORDS``
 3. Each set's rarest words, as many as a match needs to share one, are its prefix.
    Sets so small that only an equal one can match (up to three words at 0.8) have none.
    Sets that share a prefix word meet in a shard of words; length, the positions of
-   the word and a bitmap of the set bound their overlap and rule most pairs out.
+   the word and a 128-bit bitmap of the set bound their overlap and rule most pairs out.
 4. What is left is verified with the words themselves.
 
 A shard holds a bounded number of entries; a fuller one is split into blocks, and each
@@ -31,7 +31,7 @@ All columns are passed on, n_chars with the new length.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,13 +53,17 @@ FIRST, LISTED = 3, 3
 PASS_WORDS = 4_000_000
 #: Pairs that are looked at together in a search, and 64-bit numbers of the wide bitmap that rules most of them out.
 BLOCK, WIDE = 250_000, 4
+#: 64-bit numbers of an entry's bitmap. With one, lines of a hundred words pass by chance.
+NARROW = 2
 #: Up to so many ids are broadcast (8 bytes each); beyond that all texts are looked at.
 BROADCAST_IDS = 1_000_000
+#: Up to so many lines (doc, line) that are searched for are broadcast to fetch their words.
+BROADCAST_LINES = 100_000
 #: Bits of the filter that tells which lines are to be verified.
 FILTER_BITS = 2**26
 #: Half a hash of the word and of the set are enough to let lines meet; with its bitmap
 #: and size, a set's half hash also tells equal sets.
-ENTRY = np.dtype([("word", "<u4"), ("set", "<u4"), ("bitmap", "<u8"), ("doc", "<i8"), ("line", "<i4"), ("n", "<u4"), ("pos", "<u4")])
+ENTRY = np.dtype([("word", "<u4"), ("set", "<u4"), *((f"bitmap{k}", "<u8") for k in range(NARROW)), ("doc", "<i8"), ("line", "<i4"), ("n", "<u4"), ("pos", "<u4")])
 #: A set that a task has sent, with the first line it had by then; how many it remembers.
 SEEN = np.dtype([("set", "<u8"), ("doc", "<i8"), ("line", "<i4")])
 MOST_SEEN = 1_000_000
@@ -69,33 +73,55 @@ PAIR = "doc bigint, line int, other_doc bigint, other_line int, apart int, place
 
 class Lines:
     """Distinct words of the lines of some texts: ``word`` with the ``line`` of each, in
-    order of line and hash; ``text``, ``number``, ``n`` and ``begin`` of each line."""
+    order of line and hash; ``text``, ``number``, ``n`` and ``begin`` of each line. With
+    ``wanted``, which tells the places of wanted words among hashes, only lines that have one."""
 
-    def __init__(self, raw: np.ndarray, offsets: np.ndarray, least_words: int):
+    def __init__(self, raw: np.ndarray, offsets: np.ndarray, least_words: int, wanted: Callable[[np.ndarray], np.ndarray] | None = None):
         words = Words(raw, offsets, BREAKS)
-        breaks = np.flatnonzero(raw == 0x0A)
-        # Lines in reading order: a text with k line feeds has k + 1.
-        before = np.searchsorted(breaks, offsets)
-        text = np.repeat(np.arange(words.per_text.size), words.per_text)
-        number = np.repeat(np.arange(breaks.size + 1), np.diff(np.concatenate(([0], np.searchsorted(words.start, breaks), [len(words)])))) - before[text]
-        first = np.flatnonzero(np.concatenate(([True], (np.diff(text) != 0) | (np.diff(number) != 0)))) if text.size else np.zeros(0, np.int64)
-        line = np.repeat(np.arange(first.size), np.diff(np.append(first, text.size)))
+        text, number, begin, _ = _line_ends(raw, offsets)
         hashes = words.hashes(LOWER)
+        size = np.diff(np.append(np.searchsorted(words.start, begin), len(words)))
+        some = size > 0
+        if wanted is not None:
+            at = np.searchsorted(begin, words.start[wanted(hashes)], side="right") - 1
+            some = np.zeros(begin.size, bool)
+            some[at] = True
+            hashes = hashes[np.repeat(some, size)]
+        text, number, size = text[some], number[some], size[some]
+        line = np.repeat(np.arange(size.size), size)
         order = _by_line(line, hashes >> np.uint64(24), 40)
         hashes = hashes[order]  # the order by line is as it was
         new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1]))) if line.size else np.zeros(0, bool)
         hashes, line = hashes[new], line[new]
-        n = np.bincount(line, minlength=first.size)
-        keep = n >= least_words
-        self.word, self.line = hashes[keep[line]], (np.cumsum(keep) - 1)[line[keep[line]]]
-        self.text, self.number, self.n = text[first][keep], number[first][keep].astype(np.int32), n[keep]
-        self.begin = np.cumsum(self.n) - self.n
+        n = np.bincount(line, minlength=size.size)
+        if least_words > 1:
+            keep = n >= least_words
+            hashes, line = hashes[keep[line]], (np.cumsum(keep) - 1)[line[keep[line]]]
+            text, number, n = text[keep], number[keep], n[keep]
+        self.word, self.line, self.text, self.number, self.n = hashes, line, text, number.astype(np.int32), n
+        self.begin = np.cumsum(n) - n
 
     def sets(self) -> np.ndarray:
         """A hash of each line's set."""
         return mix(np.add.reduceat(mix(self.word + np.uint64(7)), self.begin)) if self.n.size else np.zeros(0, np.uint64)
 
 
+def _line_ends(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, number, first byte and byte after the last of each line, in reading order: a
+    text with k line feeds has k + 1."""
+    breaks = np.flatnonzero(raw == 0x0A)
+    count = np.diff(np.searchsorted(breaks, offsets)) + 1
+    first = np.cumsum(count) - count
+    text = np.repeat(np.arange(count.size), count)
+    begin, end = np.empty(text.size, np.int64), np.empty(text.size, np.int64)
+    inner = np.ones(text.size, bool)
+    inner[first] = False
+    begin[first], begin[inner] = offsets[:-1], breaks + 1
+    inner[first], inner[first + count - 1] = True, False
+    end[~inner], end[inner] = offsets[1:], breaks
+    return text, np.arange(text.size) - first[text], begin, end
+
+
 def _by_line(line: np.ndarray, value: np.ndarray, bits: int) -> np.ndarray:
     """The order by line, then by value of so many bits: one sort if both fit into a number."""
     if not line.size or int(line[-1]) < 2 ** (64 - bits):
@@ -196,11 +222,14 @@ def _prefix(word: np.ndarray, line: np.ndarray, begin: np.ndarray, n: np.ndarray
     # A set of n words can match another if it can match one of n + 1 that has them all.
     chosen = chosen & (n >= t * (n + 1) - 1e-9)
     # Words of each line by rarity, then by hash.
-    rank = rarity[(word % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64)
-    rare = _by_line(line, rank << np.uint64(32) | word >> np.uint64(32), 44)
-    pos = np.arange(rare.size) - np.repeat(begin, n)
+    rank = rarity[(word % np.uint64(COUNTERS)).astype(np.int64)].astype(np.uint64) << np.uint64(32) | word >> np.uint64(32)
+    if not line.size or int(line[-1]) < 2**20:
+        rank = np.sort(line.astype(np.uint64) << np.uint64(44) | rank)
+    else:
+        rank = rank[np.lexsort((rank, line))]
+    pos = np.arange(rank.size) - np.repeat(begin, n)
     pick = chosen[line] & (pos < (n - _needed(n, t) + 1)[line])
-    return (word[rare[pick]] >> np.uint64(32)).astype(np.uint32), line[pick], pos[pick]
+    return rank[pick].astype(np.uint32), line[pick], pos[pick]
 
 
 def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_words: int) -> DataFrame:
@@ -211,10 +240,14 @@ def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_w
         rarity, held, size, seen = sent.value, [], 0, np.zeros(0, SEEN)
 
         def flush() -> pa.RecordBatch:
-            shard, rows = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.argsort(shard)
-            rows, shard = rows[order], shard[order]
-            which, begin = runs(shard)
+            half, at, pos, of_line = zip(*held, strict=True)
+            at = np.concatenate(at) + np.repeat(np.cumsum([0, *(x.size for x in of_line[:-1])]), [x.size for x in at])
+            half, pos = np.concatenate(half), np.concatenate(pos)
+            shard = (half % np.uint32(shards)).astype(np.int64)
+            order = np.argsort(shard << 32 | half.astype(np.int64))  # by word, too, as neighbours compress well then
+            rows = np.concatenate(of_line)[at[order]]
+            rows["word"], rows["pos"] = half[order], pos[order]
+            which, begin = runs(shard[order])
             blobs = [_packed(rows[a:b]) for a, b in zip(begin, np.append(begin[1:], rows.size), strict=True)]
             return pa.RecordBatch.from_arrays([pa.array(which), pa.array(blobs, pa.binary())], ["shard", "entries"])
 
@@ -231,14 +264,14 @@ def prefixes(docs: DataFrame, rarity: np.ndarray, shards: int, t: float, least_w
                 heads, seen = _earlier(sets, doc, lines.number, heads, seen)
                 chosen = np.zeros(lines.n.size, bool)
                 chosen[heads] = True
-                bit = np.uint64(1) << (mix(lines.word) >> np.uint64(58))
-                bitmap = np.bitwise_xor.reduceat(bit, lines.begin)
+                bitmap = _bitmap(lines.word, lines.begin, NARROW)
                 half, at, pos = _prefix(lines.word, lines.line, lines.begin, lines.n, chosen, rarity, t)
-                rows = np.zeros(at.size, ENTRY)
-                rows["word"], rows["set"], rows["bitmap"], rows["doc"] = half, (sets[at] >> np.uint64(32)).astype(np.uint32), bitmap[at], doc[at]
-                rows["line"], rows["n"], rows["pos"] = lines.number[at], lines.n[at], pos
-                held.append(((half % np.uint32(shards)).astype(np.int64), rows))
-                size += rows.size
+                rows = np.zeros(lines.n.size, ENTRY)
+                rows["set"], rows["doc"], rows["line"], rows["n"] = (sets >> np.uint64(32)).astype(np.uint32), doc, lines.number, lines.n
+                for k in range(NARROW):
+                    rows[f"bitmap{k}"] = bitmap[:, k]
+                held.append((half, at, pos, rows))
+                size += at.size
                 if size > 200_000:
                     yield flush()
                     held, size = [], 0
@@ -268,33 +301,44 @@ def pairs_of(rows: np.ndarray, t: float, apart: np.ndarray | None = None, listed
 
     ``apart`` numbers blocks; only entries of different ones are then paired.
     """
-    order = _by_set(rows)
-    same = np.concatenate(([False], np.logical_and.reduce([rows[c][order][1:] == rows[c][order][:-1] for c in ("word", "set", "bitmap", "n")]))) if order.size else np.zeros(0, bool)
-    order = order[~same]
-    rows, apart = rows[order], None if apart is None else apart[order]
-    by = np.argsort(rows["word"].astype(np.uint64) << np.uint64(32) | rows["n"], kind="stable")
-    rows, apart = rows[by], None if apart is None else apart[by]
     if not rows.size:
         return
+    maps = [f"bitmap{k}" for k in range(NARROW)]
+    order = _by_set(rows)
+    rows = rows[order]
+    new = np.concatenate(([True], np.logical_or.reduce([rows[c][1:] != rows[c][:-1] for c in ("word", "set", "n", *maps)])))
+    by = np.flatnonzero(new)
+    by = by[np.argsort((rows["word"].astype(np.uint64) << np.uint64(32) | rows["n"])[by])]
+    rows, apart = rows[by], None if apart is None else apart[order[by]]
     word, begin = runs(rows["word"])
     group = np.repeat(np.arange(word.size), np.diff(np.append(begin, rows.size)))
     n = rows["n"].astype(np.int64)
+    left, bitmap = n - rows["pos"], [np.ascontiguousarray(rows[c]) for c in maps]  # words from the shared one on
+    part = n * ((1 - t) / (1 + t))  # two sets that match differ by the sum of these at most
     key = group << 32 | n
-    low = np.searchsorted(key, group << 32 | _needed(n, t))
-    count = np.arange(rows.size) - low
+    # The shorter one of a match has the word among fewer of its rarest words; the place of
+    # the word in the longer one bounds the length of the shorter one from above, too.
+    shorter = np.flatnonzero(left >= _needed(2 * n, t / (1 + t)))
+    longest = np.minimum(n, np.floor(left * ((1 + t) / t) + 1e-6).astype(np.int64) - n)
+    low = np.searchsorted(key[shorter], group << 32 | _needed(n, t))
+    high = np.searchsorted(key[shorter], group << 32 | np.maximum(longest, 0), side="right")
+    count = np.maximum(0, np.minimum(high, np.searchsorted(shorter, np.arange(rows.size))) - low)
     # Blocks of entries with some hundred thousand pairs; an entry has at most as many as a shard's entries.
     total = np.cumsum(count)
     a = 0
     while a < rows.size:
         b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + 250_000, side="right")))
         j = np.repeat(np.arange(a, b), count[a:b])
-        i = ranges(low[a:b], count[a:b])
-        need = np.ceil(t / (1 + t) * (n[i] + n[j]) - 1e-9).astype(np.int64)
-        ok = 1 + np.minimum(n[i] - rows["pos"][i], n[j] - rows["pos"][j]) - 1 >= need
-        apart_by = np.bitwise_count(rows["bitmap"][i] ^ rows["bitmap"][j]).astype(np.int64)
-        ok &= apart_by <= n[i] + n[j] - 2 * need
+        i = shorter[ranges(low[a:b], count[a:b])]
+        # The first part of the bitmap rules out most pairs; what is left is looked at more closely.
+        ok = np.bitwise_count(bitmap[0][i] ^ bitmap[0][j]) <= part[i] + part[j] + 1e-6
         if apart is not None:
             ok &= apart[i] != apart[j]
+        i, j = i[ok], j[ok]
+        size = n[i] + n[j]
+        need = np.ceil(t / (1 + t) * size - 1e-9).astype(np.int64)
+        apart_by = sum(np.bitwise_count(b[i] ^ b[j]).astype(np.int64) for b in bitmap)
+        ok = (np.minimum(left[i], left[j]) >= need) & (apart_by <= size - 2 * need)
         i, j, apart_by = i[ok], j[ok], apart_by[ok]
         swap = (rows["doc"][i] > rows["doc"][j]) | ((rows["doc"][i] == rows["doc"][j]) & (rows["line"][i] > rows["line"][j]))
         later, earlier = np.where(swap, i, j), np.where(swap, j, i)
@@ -429,22 +473,25 @@ def words_of(docs: DataFrame, pairs: DataFrame, least_words: int) -> DataFrame:
         marks = sent.value
         for batch in batches:
             for first, last, raw, offsets in text_chunks(batch):
-                lines = Lines(raw, offsets, least_words)
-                doc = _column(batch, "doc_id", first, last)[lines.text]
-                at = line_key(doc, lines.number) % np.uint64(FILTER_BITS)
-                # A few lines more than those needed; the join takes them out.
-                maybe = marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1) > 0
-                n, word = lines.n[maybe], lines.word[maybe[lines.line]]
-                ends = np.append(0, np.cumsum(n))
-                words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(word.view(np.int64)))
-                wide = _wide(word, ends[:-1]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(doc[maybe]), pa.array(lines.number[maybe]), pa.array(n.astype(np.int32)), *(pa.array(wide[:, k]) for k in range(WIDE)), words], ["doc", "line", "n", *bits, "words"])
+                text, number, begin, end = _line_ends(raw, offsets)
+                doc = _column(batch, "doc_id", first, last)[text]
+                at = line_key(doc, number) % np.uint64(FILTER_BITS)
+                # A few lines more than those needed; the join takes them out. Only these are cut into words.
+                maybe = np.flatnonzero(marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1))
+                size = (end - begin)[maybe]
+                lines = Lines(raw[ranges(begin[maybe], size)], np.append(0, np.cumsum(size)), least_words)
+                doc, number = doc[maybe[lines.text]], number[maybe[lines.text]].astype(np.int32)
+                ends = np.append(0, np.cumsum(lines.n))
+                words = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(lines.word.view(np.int64)))
+                wide = _bitmap(lines.word, lines.begin, WIDE).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(number), pa.array(lines.n.astype(np.int32)), *(pa.array(wide[:, k]) for k in range(WIDE)), words], ["doc", "line", "n", *bits, "words"])
 
     bits = [f"bits{k}" for k in range(WIDE)]
     lines = docs.select("doc_id", "text").mapInArrow(sets, "doc bigint, line int, n int, " + "".join(f"{b} bigint, " for b in bits) + "words array<bigint>")
+    lines = stored(lines)
     # Only rows that repeat a doc_id give a line more than once.
-    repeated = docs.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return stored(lines.dropDuplicates(["doc", "line"]) if repeated else lines)
+    repeated = lines.groupBy("doc", "line").count().filter("count > 1").limit(1).count()
+    return stored(lines.dropDuplicates(["doc", "line"])) if repeated else lines
 
 
 def possible(pairs: DataFrame, lines: DataFrame, t: float) -> DataFrame:
@@ -463,8 +510,9 @@ def verified(pairs: DataFrame, lines: DataFrame, t: float) -> DataFrame:
     other = lines.join(asked, ["doc", "line"], "left_semi").select(F.col("doc").alias("other_doc"), F.col("line").alias("other_line"), F.col("words").alias("other_words"))
     lines = lines.select("doc", "line", "words")
     both = pairs.join(lines, ["doc", "line"]).join(other, ["other_doc", "other_line"])
-    shared = F.size(F.array_intersect("words", "other_words"))
-    return both.withColumn("similarity", shared / (F.size("words") + F.size("other_words") - shared)).filter(F.col("similarity") >= t - 1e-12).select("doc", "line", "other_doc", "other_line", "similarity")
+    # Stored before the filter, which would find the words in common a second time.
+    counted = stored(both.select(*KEYS, F.size(F.array_intersect("words", "other_words")).alias("shared"), (F.size("words") + F.size("other_words")).alias("sizes")))
+    return counted.withColumn("similarity", F.col("shared") / (F.col("sizes") - F.col("shared"))).filter(F.col("similarity") >= t - 1e-12).select(*KEYS, "similarity")
 
 
 def _without(pairs: DataFrame, matches: DataFrame) -> DataFrame:
@@ -486,7 +534,7 @@ class Asked:
         self.half, self.at, self.pos = half[order], at[order].astype(np.int32), pos[order].astype(np.int32)
         self.some = np.zeros(2**22, bool)  # which prefix words there may be, by their upper bits
         self.some[self.half >> np.uint32(10)] = True
-        self.bitmap = _wide(word, begin)
+        self.bitmap = _bitmap(word, begin, WIDE)
         self.known = np.unique(word)
         self.keys = np.sort(line * self.known.size + np.searchsorted(self.known, word))
 
@@ -505,13 +553,13 @@ class Asked:
         return per_text(both, np.append(0, np.cumsum(n)))
 
 
-def _wide(word: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """A bitmap of ``WIDE`` numbers of each set, of whose bits each word turns one."""
+def _bitmap(word: np.ndarray, begin: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap of ``width`` numbers of each set, of whose bits each word turns one."""
     if not begin.size:
-        return np.zeros((0, WIDE), np.uint64)
+        return np.zeros((0, width), np.uint64)
     at = mix(word + np.uint64(11))
-    bit, which = np.uint64(1) << (at >> np.uint64(58)), at % np.uint64(WIDE)
-    return np.stack([np.bitwise_xor.reduceat(np.where(which == k, bit, np.uint64(0)), begin) for k in range(WIDE)], axis=1)
+    bit, which = np.uint64(1) << (at >> np.uint64(58)), at % np.uint64(width)
+    return np.stack([np.bitwise_xor.reduceat(np.where(which == k, bit, np.uint64(0)), begin) for k in range(width)], axis=1)
 
 
 def searched(docs: DataFrame, lines: DataFrame, rarity: np.ndarray, t: float, least_words: int) -> DataFrame:
@@ -524,7 +572,8 @@ def searched(docs: DataFrame, lines: DataFrame, rarity: np.ndarray, t: float, le
         best = np.zeros(asked.n.size, [("found", bool), ("doc", "<i8"), ("line", "<i4"), ("similarity", "<f8")])
         for batch in batches:
             for first, last, raw, offsets in text_chunks(batch):
-                lines = Lines(raw, offsets, least_words)
+                # Only lines with such a word are compared.
+                lines = Lines(raw, offsets, least_words, asked.touched)
                 if not lines.n.size:
                     continue
                 doc = _column(batch, "doc_id", first, last)[lines.text]
@@ -544,12 +593,7 @@ def searched(docs: DataFrame, lines: DataFrame, rarity: np.ndarray, t: float, le
 
 def _matches(asked: Asked, lines: Lines, doc: np.ndarray, rarity: np.ndarray, t: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Lines that are searched for, earlier ones among ``lines`` that match them, and how similar they are."""
-    # Only lines with such a word are put in order of rarity.
-    few = np.unique(lines.line[asked.touched(lines.word)])
-    n = lines.n[few]
-    begin = np.cumsum(n) - n
-    half, at, pos = _prefix(lines.word[ranges(lines.begin[few], n)], np.repeat(np.arange(few.size), n), begin, n, np.ones(few.size, bool), rarity, t)
-    at = few[at]
+    half, at, pos = _prefix(lines.word, lines.line, lines.begin, lines.n, np.ones(lines.n.size, bool), rarity, t)
     low = np.searchsorted(asked.half, half)
     count = np.searchsorted(asked.half, half, side="right") - low
     met = np.flatnonzero(count)
@@ -572,7 +616,7 @@ def _matches(asked: Asked, lines: Lines, doc: np.ndarray, rarity: np.ndarray, t:
         n, m = asked.n[own], lines.n[other]
         need = np.ceil(t / (1 + t) * (n + m) - 1e-9).astype(np.int64)
         near, place = np.unique(other, return_inverse=True)
-        bitmap = _wide(lines.word[ranges(lines.begin[near], lines.n[near])], np.cumsum(lines.n[near]) - lines.n[near])
+        bitmap = _bitmap(lines.word[ranges(lines.begin[near], lines.n[near])], np.cumsum(lines.n[near]) - lines.n[near], WIDE)
         ok = np.bitwise_count(asked.bitmap[own] ^ bitmap[place]).sum(axis=1, dtype=np.int64) <= n + m - 2 * need
         own, other, n, m = own[ok], other[ok], n[ok], m[ok]
         total_words = np.cumsum(m)
@@ -602,21 +646,23 @@ def find(docs: DataFrame, threshold: float = 0.8, least_words: int = 5, first_on
     # A set has about a part 1 - threshold of its words in its prefix.
     shards = max(16, int(total * (1 - threshold) * 1.2 / AIM))
     pairs = candidates(prefixes(docs, rarity, shards, threshold, least_words), threshold, listed, most)
+    pairs = stored(pairs.groupBy(*KEYS).agg(F.min("place").alias("place"), F.min("apart").alias("apart"), F.max("more").alias("more")))
     lines = words_of(docs, pairs, least_words)
     # One candidate of each line, that most like it; then more of those that have no match.
-    one = pairs.groupBy(*KEYS).agg(F.min("place").alias("place"), F.min("apart").alias("apart"))
     alike = Window.partitionBy("doc", "line").orderBy(F.col("place") > 0, "apart", "other_doc", "other_line")  # a line's listed candidates
-    ranked = one.withColumn("best", F.row_number().over(alike) == 1).select(*KEYS, "place", "best")
+    ranked = pairs.withColumn("best", F.row_number().over(alike) == 1).select(*KEYS, "place", "best")
     near = stored(possible(ranked, lines, threshold))
-    matches = stored(verified(near.filter("best").select(*KEYS), lines, threshold))
+    matches = verified(near.filter("best").select(*KEYS), lines, threshold)
     tried = 0
     for most_of_word in sorted({min(first_ones, listed), listed}):
         more = near.filter(~F.col("best") & (F.col("place") >= tried) & (F.col("place") < most_of_word)).select(*KEYS)
         rest = stored(_without(more, matches))
-        matches = matches.union(stored(verified(rest, lines, threshold)))
+        matches = matches.union(verified(rest, lines, threshold))
         tried = most_of_word
     # Lines that had more candidates than these: all of them.
-    left = stored(lines.join(_without(pairs.filter("more").select("doc", "line").distinct(), matches), ["doc", "line"], "left_semi").select("doc", "line", "n", "words"))
+    unmatched = stored(_without(pairs.filter("more").select("doc", "line").distinct(), matches))
+    few = unmatched.count() <= BROADCAST_LINES
+    left = stored(lines.join(F.broadcast(unmatched) if few else unmatched, ["doc", "line"], "left_semi").select("doc", "line", "n", "words"))
     passes = -(-(left.agg(F.sum("n")).first()[0] or 0) // PASS_WORDS)
     for k in range(passes):
         part = left.filter(F.pmod(F.xxhash64("doc", "line"), F.lit(passes)) == k)  # about PASS_WORDS words
